@@ -1,6 +1,6 @@
 """Registered queries with their reference SQL."""
 
-from gramlark.catalog import profiles  # noqa: F401
+from gramlark.catalog import charts, evaluation, features, models, profiles, storage  # noqa: F401
 from gramlark.catalog.base import QUERIES, Query
 
 __all__ = ["QUERIES", "Query"]

@@ -146,7 +146,7 @@ def gram_by(
     if bad:
         raise ValueError(f"{int(bad)} missing values among {names}; impute first")
     return {
-        g: Gram(names, v[0], center, v[2 : 2 + m], v[2 + m :].reshape(m, m))
+        g: Gram(names, float(v[0]), center, v[2 : 2 + m], v[2 + m :].reshape(m, m))
         for g, v in sorted(sums.items())
     }
 

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from gramlark.session import stage
 
+# up to this many distinct values a plain window is cheaper than range partitions
+SMALL_VALUES = 100_000
+
 
 def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -55,6 +58,11 @@ def value_ranks(df: DataFrame, value: str = "v", by: list[str] = ()) -> DataFram
     """
     by = list(by)
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("cnt"))
+    counts = stage(counts, "value-counts")
+    if counts.count() <= SMALL_VALUES:
+        order = W.partitionBy(*by).orderBy(value)
+        prior = order.rowsBetween(W.unboundedPreceding, -1)
+        return _finish(counts.withColumns({"_rows": F.lit(0), "_vals": F.lit(0)}), by, value, order, prior)
     staged = stage(
         counts.repartitionByRange(_partitions(df), *by, value).withColumn(
             "part", F.spark_partition_id()
@@ -64,9 +72,14 @@ def value_ranks(df: DataFrame, value: str = "v", by: list[str] = ()) -> DataFram
     order = W.partitionBy(*by, "part").orderBy(value)
     prior = order.rowsBetween(W.unboundedPreceding, -1)
     ranked = _with_offsets(staged, by, {"_rows": F.sum("cnt"), "_vals": F.count("*")})
+    return _finish(ranked, by, value, order, prior)
+
+
+def _finish(ranked, by, value, order, prior) -> DataFrame:
+    smaller = F.coalesce(F.sum("cnt").over(prior), F.lit(0))
     return (
-        ranked.withColumn("before", F.col("_rows") + F.coalesce(F.sum("cnt").over(prior), F.lit(0)))
-        .withColumn("dense", F.col("_vals") + F.row_number().over(order) - 1)
+        ranked.withColumn("before", (F.col("_rows") + smaller).cast("bigint"))
+        .withColumn("dense", (F.col("_vals") + F.row_number().over(order) - 1).cast("bigint"))
         .withColumn("avg_rank", F.col("before") + (F.col("cnt") + 1) / F.lit(2.0))
         .select(*by, value, "cnt", "before", "dense", "avg_rank")
     )

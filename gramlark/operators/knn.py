@@ -179,17 +179,24 @@ def _search(cells, visitors, columns, fill, k, visitor_rows) -> DataFrame:
         "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     )
     visitors_cg = placed.select("slice", "cell", "part", "_id", "missing", *columns)
-    donors_cg = spread.select("slice", "cell", "part", "_id", *columns)
+    # fresh names on the donor side keep the two sides of the cogroup apart
+    place = ["slice", "cell", "part"]
+    donor_names = {c: f"donor_{i}" for i, c in enumerate(columns)}
+    donors_cg = spread.select(
+        *[F.col(c).alias(f"donor_{c}") for c in place],
+        *[F.col(c).alias(d) for c, d in donor_names.items()],
+    )
     cols, fills = list(columns), list(fill)
+    donor_cols = list(donor_names.values())
 
     def cell_search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
-            x = right[cols].to_numpy(float)
+            x = right[donor_cols].to_numpy(float)
             for c in fills:
                 wants = left[left["missing"].map(lambda m, c=c: c in m)]
-                has = right[c].notna().to_numpy()
-                target = right[c].to_numpy(float)
+                held = right[donor_names[c]]
+                has, target = held.notna().to_numpy(), held.to_numpy(float)
                 step = max(1, CHUNK_CELLS // max(len(right), 1))
                 for s in range(0, len(wants), step):
                     part = wants.iloc[s : s + step]
@@ -205,10 +212,9 @@ def _search(cells, visitors, columns, fill, k, visitor_rows) -> DataFrame:
             return pd.concat(out, ignore_index=True)
         return pd.DataFrame({"_id": [], "fill": [], "dist": [], "value": []})
 
-    keys = ["slice", "cell", "part"]
     return (
-        visitors_cg.groupBy(*keys)
-        .cogroup(donors_cg.groupBy(*keys))
+        visitors_cg.groupBy(*place)
+        .cogroup(donors_cg.groupBy(*[f"donor_{c}" for c in place]))
         .applyInPandas(cell_search, "_id string, fill string, dist double, value double")
     )
 
