@@ -12,3 +12,16 @@ Layers, from the bottom up:
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_functions() -> None:
+    """Send task functions of this package by value, so that executors need no
+    copy of it on their path."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_functions()

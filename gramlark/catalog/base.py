@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gramlark.schema import NUMERIC
+from gramlark.session import stage
+from gramlark.sources.listing import listing
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +37,11 @@ def query(sql: str | None = None):
     return register
 
 
+def staged_listing(spark, sf_dir, columns=None, fold=False) -> DataFrame:
+    """The listing written out once, for queries that pass over it repeatedly."""
+    return stage(listing(spark, sf_dir, columns, fold), "listing")
+
+
 def rounded(df: DataFrame, digits: dict[str, int] | int, skip: tuple[str, ...] = ()) -> DataFrame:
     """Round double columns, either the named ones or all of them."""
     doubles = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]

@@ -6,7 +6,7 @@ from statistics import NormalDist
 
 from pyspark.sql import functions as F
 
-from gramlark.catalog.base import long_cte, q, query, rounded
+from gramlark.catalog.base import long_cte, q, query, rounded, staged_listing
 from gramlark.catalog.models import _pred, out_of_fold
 from gramlark.operators.derive import ratio_features
 from gramlark.operators.impute import handle_missing
@@ -36,12 +36,12 @@ _HIST = {"left": 6, "right": 6, "density": 12}
 
 @query(_hist_sql(NUMERIC, 30))
 def histogram_features(spark, sf):
-    return rounded(plotdata.histogram(listing(spark, sf, NUMERIC), NUMERIC), _HIST)
+    return rounded(plotdata.histogram(staged_listing(spark, sf, NUMERIC), NUMERIC), _HIST)
 
 
 @query(_hist_sql([TARGET], 50))
 def histogram_target(spark, sf):
-    return rounded(plotdata.histogram(listing(spark, sf, [TARGET]), [TARGET], 50), _HIST)
+    return rounded(plotdata.histogram(staged_listing(spark, sf, [TARGET]), [TARGET], 50), _HIST)
 
 
 @query(with_listing(f"""
@@ -51,7 +51,7 @@ st AS (SELECT count({TARGET}) AS n, stddev_samp({TARGET}) * pow(count({TARGET}),
 bins AS (SELECT lo + ({_bin(TARGET, 'lo', 'hi', 2048)} + 0.5) * ((hi - lo) / 2048) AS center, count(*) AS c, any_value(h) AS h, any_value(n) AS n
          FROM listing, st GROUP BY 1)"""))
 def density_target(spark, sf):
-    return rounded(plotdata.kde(listing(spark, sf, [TARGET]), TARGET), {"x": 4, "density": 12})
+    return rounded(plotdata.kde(staged_listing(spark, sf, [TARGET]), TARGET), {"x": 4, "density": 12})
 
 
 @query(with_listing(f"""
@@ -62,7 +62,7 @@ SELECT "column", {q('any_value(q1)', 6)} AS q1, {q('any_value(m)', 6)} AS median
 FROM long JOIN b USING ("column") GROUP BY 1""", long_cte(ALL_NUMERIC) + """,
 b AS (SELECT "column", quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS m, quantile_cont(v, 0.75) AS q3 FROM long GROUP BY 1)"""))
 def box_plot(spark, sf):
-    return rounded(plotdata.box_stats(listing(spark, sf, ALL_NUMERIC), ALL_NUMERIC), 6)
+    return rounded(plotdata.box_stats(staged_listing(spark, sf, ALL_NUMERIC), ALL_NUMERIC), 6)
 
 
 _PROBS = [(i + 0.5) / 20 for i in range(20)]
@@ -73,7 +73,7 @@ _PROBS = [(i + 0.5) / 20 for i in range(20)]
         f"SELECT {p}::DOUBLE AS prob, {NormalDist().inv_cdf(p)!r}::DOUBLE AS theoretical, quantile_cont({TARGET}, {p}) AS ordered FROM listing"
         for p in _PROBS) + ")"))
 def qq_plot(spark, sf):
-    out = plotdata.qq_points(listing(spark, sf, [TARGET]), TARGET, 20)
+    out = plotdata.qq_points(staged_listing(spark, sf, [TARGET]), TARGET, 20)
     return rounded(out, {"theoretical": 8, "ordered": 4})
 
 
@@ -83,12 +83,12 @@ _TRI = [(a, b) for i, a in enumerate(ALL_NUMERIC) for b in ALL_NUMERIC[:i]]
 @query(with_listing(" UNION ALL ".join(
     f"SELECT '{a}' AS column_a, '{b}' AS column_b, {q(f'corr({a}, {b})', 8)} AS correlation FROM listing" for a, b in _TRI)))
 def correlation_lower_triangle(spark, sf):
-    return rounded(plotdata.correlation_triangle(listing(spark, sf, ALL_NUMERIC)), 8)
+    return rounded(plotdata.correlation_triangle(staged_listing(spark, sf, ALL_NUMERIC)), 8)
 
 
 @query()
 def correlation_top_block(spark, sf):
-    return rounded(plotdata.top_correlation_block(listing(spark, sf, ALL_NUMERIC), n=4), 8)
+    return rounded(plotdata.top_correlation_block(staged_listing(spark, sf, ALL_NUMERIC), n=4), 8)
 
 
 _STRENGTH = " UNION ALL ".join(
@@ -99,13 +99,13 @@ _STRENGTH = " UNION ALL ".join(
 
 @query(with_listing(f"""SELECT (row_number() OVER (ORDER BY r DESC))::INTEGER AS rank, "column", {q('r', 8)} AS strength FROM ({_STRENGTH})"""))
 def feature_importance(spark, sf):
-    return rounded(plotdata.top_features(listing(spark, sf, ALL_NUMERIC)), 8)
+    return rounded(plotdata.top_features(staged_listing(spark, sf, ALL_NUMERIC)), 8)
 
 
 @query(with_listing(f"""SELECT "column", {q('s', 4)} AS slope, {q('i', 2)} AS intercept, {q('r', 8)} AS strength
 FROM ({_STRENGTH}) ORDER BY r DESC LIMIT 6"""))
 def feature_regression_lines(spark, sf):
-    out = plotdata.regression_lines(listing(spark, sf, ALL_NUMERIC))
+    out = plotdata.regression_lines(staged_listing(spark, sf, ALL_NUMERIC))
     return rounded(out, {"slope": 4, "intercept": 2, "strength": 8})
 
 
@@ -120,16 +120,18 @@ def missing_heat_map(spark, sf):
 
 
 @query(with_listing(f"""SELECT floor(latitude / 0.5)::INTEGER AS lat_cell, floor(longitude / 0.5)::INTEGER AS lon_cell,
-  count(*) AS rows, {q(f'avg({TARGET})', 4)} AS mean_value FROM listing GROUP BY 1, 2"""))
+  count(*) AS rows, {q(f'sum({TARGET})', 3)} AS total_value FROM listing GROUP BY 1, 2"""))
 def geo_value_grid(spark, sf):
-    return rounded(plotdata.geo_grid(listing(spark, sf, ["latitude", "longitude", TARGET])), 4)
+    grid = plotdata.geo_grid(listing(spark, sf, ["latitude", "longitude", TARGET]))
+    total = F.round(F.col("rows") * F.col("mean_value"), 3).alias("total_value")
+    return grid.select("lat_cell", "lon_cell", "rows", total)
 
 
 @query(with_listing(f"""SELECT {_bin('x', 'xl', 'xh', 40)} AS x_bin, {_bin('y', 'yl', 'yh', 40)} AS y_bin, count(*) AS count,
   {q('avg(x)', 4)} AS x_mean, {q('avg(y)', 4)} AS y_mean FROM pr, lim GROUP BY 1, 2""", f"""
 pr AS (SELECT median_income AS x, {TARGET} AS y FROM listing), lim AS (SELECT min(x) AS xl, max(x) AS xh, min(y) AS yl, max(y) AS yh FROM pr)"""))
 def income_value_pairs(spark, sf):
-    df = listing(spark, sf, ["median_income", TARGET])
+    df = staged_listing(spark, sf, ["median_income", TARGET])
     return rounded(plotdata.binned_pairs(df, F.col("median_income"), F.col(TARGET)), 4)
 
 
@@ -164,7 +166,7 @@ rng AS (SELECT min(v) AS lo, max(v) AS hi FROM bef)"""
 SELECT 'before' AS version, 'population' AS "column", {_bin('v', 'lo', 'hi', 30)} AS bin, count(*) AS count FROM bef, rng GROUP BY 3
 UNION ALL SELECT 'after', 'population', {_bin('v', 'lo', 'hi', 30)} AS bin, count(*) FROM aft, rng GROUP BY 3""", _CLIP))
 def histogram_before_after(spark, sf):
-    before = listing(spark, sf, ["population"])
+    before = staged_listing(spark, sf, ["population"])
     after = clip_outliers(before, iqr_bounds(before, ["population"], 0.45))
     out = plotdata.before_after_histogram(before, after, ["population"])
     return out.select("version", "column", "bin", "count")
@@ -172,14 +174,14 @@ def histogram_before_after(spark, sf):
 
 @query()
 def importance_before_after(spark, sf):
-    before = listing(spark, sf, NUMERIC + [TARGET])
+    before = staged_listing(spark, sf, NUMERIC + [TARGET])
     after = ratio_features(handle_missing(before, "median"))
     return rounded(plotdata.before_after_importance(before, after), 8)
 
 
 @query(with_listing("SELECT \"column\", " + q("median(v)", 6) + " AS median FROM long GROUP BY 1", long_cte(ALL_NUMERIC)))
 def column_medians(spark, sf):
-    return rounded(plotdata.medians(listing(spark, sf, ALL_NUMERIC), ALL_NUMERIC), 6)
+    return rounded(plotdata.medians(staged_listing(spark, sf, ALL_NUMERIC), ALL_NUMERIC), 6)
 
 
 @query(with_listing(f"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gramlark.catalog.base import long_cte, q, query, rounded
+from gramlark.catalog.base import long_cte, q, query, rounded, staged_listing
 from gramlark.functions.moments import gram_by
 from gramlark.operators import cluster, derive, encode, outliers, scale, select
 from gramlark.operators.impute import Imputer, handle_missing
@@ -24,12 +24,12 @@ SELECT row_key, total_bedrooms, (total_bedrooms IS NULL)::INTEGER AS total_bedro
 def missing_indicator(spark, sf):
     from gramlark.operators.impute import add_indicators, columns_with_nulls
 
-    df = listing(spark, sf, ["row_key", "total_bedrooms"])
+    df = staged_listing(spark, sf, ["row_key", "total_bedrooms"])
     return add_indicators(df, columns_with_nulls(df, ["total_bedrooms"]))
 
 
 def _impute(spark, sf, strategy):
-    df = listing(spark, sf, ["row_key", "total_bedrooms", CATEGORY])
+    df = staged_listing(spark, sf, ["row_key", "total_bedrooms", CATEGORY])
     return rounded(handle_missing(df, strategy), 6)
 
 
@@ -65,7 +65,7 @@ def group_median_on_rows(spark, sf):
     from gramlark.functions.expressions import attach
     from gramlark.operators.impute import group_medians
 
-    df = listing(spark, sf, ["row_key", "total_rooms", CATEGORY])
+    df = staged_listing(spark, sf, ["row_key", "total_rooms", CATEGORY])
     table = group_medians(df, ["total_rooms"], CATEGORY)
     return rounded(
         attach(df, table, CATEGORY).select("row_key", F.col("total_rooms_fill").alias("group_median")), 6
@@ -100,7 +100,7 @@ SELECT "column", count(*) FILTER (v < lo OR v > hi) AS outliers,
        {q('any_value(lo)', 6)} AS lower, {q('any_value(hi)', 6)} AS upper
 FROM long JOIN lim USING ("column") GROUP BY 1""", long_cte() + "," + _IQR.format(t=_T)))
 def outliers_iqr(spark, sf):
-    df = listing(spark, sf, NUMERIC)
+    df = staged_listing(spark, sf, NUMERIC)
     report = outliers.outlier_report(df, outliers.iqr_bounds(df, NUMERIC, _T))
     return rounded(report, {"percent": 8, "lower": 6, "upper": 6})
 
@@ -109,7 +109,7 @@ def outliers_iqr(spark, sf):
     q(f"CASE WHEN {c} < {_lim(c, 'lo')} THEN {_lim(c, 'lo')} WHEN {c} > {_lim(c, 'hi')} THEN {_lim(c, 'hi')} ELSE {c} END", 6)
     + f" AS {c}" for c in NUMERIC) + " FROM listing", long_cte() + "," + _IQR.format(t=_T)))
 def outliers_iqr_clip(spark, sf):
-    df = listing(spark, sf, KEYED)
+    df = staged_listing(spark, sf, KEYED)
     return rounded(outliers.handle_outliers(df, "iqr", "clip", _T, NUMERIC), 6)
 
 
@@ -117,7 +117,7 @@ def outliers_iqr_clip(spark, sf):
     f"coalesce({c} < {_lim(c, 'lo')} OR {c} > {_lim(c, 'hi')}, false)::INTEGER AS {c}_is_outlier" for c in NUMERIC)
     + " FROM listing", long_cte() + "," + _IQR.format(t=_T)))
 def outliers_iqr_mark(spark, sf):
-    df = listing(spark, sf, KEYED)
+    df = staged_listing(spark, sf, KEYED)
     marked = outliers.handle_outliers(df, "iqr", "mark", _T, NUMERIC)
     return marked.select("row_key", *[f"{c}_is_outlier" for c in NUMERIC])
 
@@ -135,7 +135,7 @@ def _remove_sql():
 
 @query(_remove_sql())
 def outliers_iqr_remove(spark, sf):
-    df = listing(spark, sf, KEYED)
+    df = staged_listing(spark, sf, KEYED)
     return outliers.handle_outliers(df, "iqr", "remove", _T, NUMERIC).select("row_key")
 
 
@@ -149,7 +149,7 @@ def _zs(c, what):
 @query(with_listing("SELECT \"column\", count(*) FILTER (abs((v - m) / p) > 1.5) AS outliers FROM long JOIN z USING (\"column\") GROUP BY 1",
                     long_cte() + "," + _Z))
 def outliers_zscore(spark, sf):
-    df = listing(spark, sf, NUMERIC)
+    df = staged_listing(spark, sf, NUMERIC)
     return outliers.outlier_report(df, outliers.zscore_bounds(df, NUMERIC)).select("column", "outliers")
 
 
@@ -157,13 +157,13 @@ def outliers_zscore(spark, sf):
     q(f"CASE WHEN {c} IS NULL THEN NULL ELSE greatest({_zs(c, 'm - 1.5 * s')}, least({_zs(c, 'm + 1.5 * s')}, {c})) END", 6)
     + f" AS {c}" for c in NUMERIC) + " FROM listing", long_cte() + "," + _Z))
 def outliers_zscore_clip(spark, sf):
-    df = listing(spark, sf, KEYED)
+    df = staged_listing(spark, sf, KEYED)
     return rounded(outliers.handle_outliers(df, "zscore", "clip", 1.5, NUMERIC), 6)
 
 
 @query()
 def outliers_isolation_forest(spark, sf):
-    df = listing(spark, sf, ["row_key", "median_house_value", "population"])
+    df = staged_listing(spark, sf, ["row_key", "median_house_value", "population"])
     marked = outliers.handle_outliers(df, "isolation_forest", "mark", columns=[TARGET, "population"])
     return marked.groupBy(f"{TARGET}_is_outlier", "population_is_outlier").agg(F.count("*").alias("rows"))
 
@@ -208,7 +208,7 @@ _ALL = list(_DERIVED) + list(_FLAGS)
 
 @query(_derived_sql(_ALL))
 def derived_features(spark, sf):
-    df = listing(spark, sf, KEYED)
+    df = staged_listing(spark, sf, KEYED)
     out = derive.Deriver().fit(df).transform(df).select("row_key", *_ALL)
     return rounded(out, {f"log_{c}": 8 for c in derive.LOGGED})
 
@@ -233,7 +233,7 @@ def derived_age_flags(spark, sf):
 
 @query(_derived_sql(["high_income_area", "low_population_area"]))
 def derived_quantile_flags(spark, sf):
-    df = listing(spark, sf, ["row_key", "median_income", "population"])
+    df = staged_listing(spark, sf, ["row_key", "median_income", "population"])
     return derive.Deriver().fit(df).threshold_features(df).select(
         "row_key", "high_income_area", "low_population_area"
     )
@@ -258,7 +258,7 @@ def derived_polynomials(spark, sf):
 @query()
 def derived_polynomials_top5(spark, sf):
     """Squares of the five columns most correlated with the target, summed up."""
-    df = derive.polynomial_features(listing(spark, sf, NUMERIC + [TARGET]))
+    df = derive.polynomial_features(staged_listing(spark, sf, NUMERIC + [TARGET]))
     new = [c for c in df.columns if "^" in c]
     return rounded(df.agg(*[F.avg(c).alias(c) for c in new]), 4)
 
@@ -285,7 +285,7 @@ _SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 @query(with_listing("SELECT row_key, " + ", ".join(
     f"(coalesce(ocean_proximity = '{s}', false))::INTEGER::DOUBLE AS \"ocean_proximity_{s}\"" for s in _SEGMENTS) + " FROM listing"))
 def encode_onehot(spark, sf):
-    df = listing(spark, sf, ["row_key", CATEGORY])
+    df = staged_listing(spark, sf, ["row_key", CATEGORY])
     return encode.Encoder("onehot").fit(df, [CATEGORY]).transform(df)
 
 
@@ -293,7 +293,7 @@ def encode_onehot(spark, sf):
 SELECT row_key, {q('m', 6)} AS ocean_proximity_target_encoded
 FROM listing LEFT JOIN (SELECT ocean_proximity AS g, avg({TARGET}) AS m FROM listing GROUP BY 1) ON ocean_proximity = g"""))
 def encode_target(spark, sf):
-    df = listing(spark, sf, ["row_key", CATEGORY, TARGET])
+    df = staged_listing(spark, sf, ["row_key", CATEGORY, TARGET])
     return rounded(encode.Encoder("target").fit(df, [CATEGORY]).transform(df).drop(TARGET), 6)
 
 
@@ -302,7 +302,7 @@ SELECT row_key, {q('m', 10)} AS ocean_proximity_frequency_encoded
 FROM listing LEFT JOIN (SELECT ocean_proximity AS g, count(*) / (SELECT count(ocean_proximity) FROM listing) AS m
                         FROM listing WHERE ocean_proximity IS NOT NULL GROUP BY 1) ON ocean_proximity = g"""))
 def encode_frequency(spark, sf):
-    df = listing(spark, sf, ["row_key", CATEGORY])
+    df = staged_listing(spark, sf, ["row_key", CATEGORY])
     return rounded(encode.Encoder("frequency").fit(df, [CATEGORY]).transform(df), 10)
 
 
@@ -323,7 +323,7 @@ def _scale_sql(center, spread):
 
 
 def _scaled(spark, sf, method):
-    df = listing(spark, sf, KEYED)
+    df = staged_listing(spark, sf, KEYED)
     return rounded(scale.Scaler(method).fit(df, NUMERIC).transform(df), 8)
 
 
@@ -350,7 +350,7 @@ def scale_train_then_apply(spark, sf):
     from gramlark.operators.folds import side
 
     cols = ["total_rooms", "median_income"]
-    df = listing(spark, sf, ["row_key", *cols], fold=True)
+    df = staged_listing(spark, sf, ["row_key", *cols], fold=True)
     fitted = scale.Scaler("standard").fit(side(df, 0, "train"), cols)
     out = fitted.transform(side(df, 0, "validation")).drop("fold")
     return rounded(scale.add_bias(out), 8)
@@ -372,7 +372,7 @@ def nearest_centroid(spark, sf):
     """Nearest of the category centroids, with per-cluster target statistics."""
     import numpy as np
 
-    df = listing(spark, sf, ["row_key", "latitude", "longitude", TARGET, CATEGORY])
+    df = staged_listing(spark, sf, ["row_key", "latitude", "longitude", TARGET, CATEGORY])
     rows = df.groupBy(CATEGORY).agg(F.avg("latitude").alias("y"), F.avg("longitude").alias("x"))
     centers = np.array([[r["y"], r["x"]] for r in rows.orderBy(CATEGORY).limit(100).collect()])
     geo = cluster.GeoClusters(centers=centers)
@@ -385,7 +385,7 @@ def nearest_centroid(spark, sf):
 
 @query()
 def geo_clusters(spark, sf):
-    df = listing(spark, sf, ["latitude", "longitude", TARGET])
+    df = staged_listing(spark, sf, ["latitude", "longitude", TARGET])
     out = cluster.GeoClusters(n_init=2).fit(df).transform(df)
     per = out.groupBy("geo_cluster").agg(
         F.count("*").alias("rows"), F.avg("geo_cluster_distance").alias("mean_distance"),
@@ -397,7 +397,7 @@ def geo_clusters(spark, sf):
 
 @query()
 def cluster_silhouette(spark, sf):
-    df = listing(spark, sf, ["latitude", "longitude"])
+    df = staged_listing(spark, sf, ["latitude", "longitude"])
     value = cluster.silhouette(df, cluster.GeoClusters(n_init=1).fit(df))
     return df.agg(F.count("*").alias("rows"), F.round(F.lit(value), 6).alias("silhouette"))
 
@@ -410,7 +410,7 @@ SELECT "column", (row_number() OVER (ORDER BY r DESC))::INTEGER AS rank FROM (
 """ + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", abs(corr({c}, {TARGET})) AS r FROM listing" for c in NUMERIC)
     + ") ORDER BY r DESC LIMIT 5"))
 def select_by_correlation(spark, sf):
-    df = listing(spark, sf, NUMERIC + [TARGET])
+    df = staged_listing(spark, sf, NUMERIC + [TARGET])
     names = select.select_features(df, method="correlation", k_best=5)
     return spark.createDataFrame([(c, i + 1) for i, c in enumerate(names)], "column string, rank int")
 
@@ -434,12 +434,12 @@ parts AS (SELECT "column", n, sum(n) OVER (PARTITION BY "column", bx) AS nx, sum
 
 @query(_mi_sql())
 def mutual_information(spark, sf):
-    df = listing(spark, sf, NUMERIC + [TARGET])
+    df = staged_listing(spark, sf, NUMERIC + [TARGET])
     return rounded(select.mutual_information(df, NUMERIC), 8)
 
 
 def _complete(spark, sf):
-    df = listing(spark, sf, NUMERIC + [TARGET])
+    df = staged_listing(spark, sf, NUMERIC + [TARGET])
     return handle_missing(df, "median", indicators=False)
 
 
@@ -468,7 +468,7 @@ def feature_flow(spark, sf):
     """Fit on the training side of fold 0, transform all rows, summarise."""
     from gramlark.operators.profile import describe
 
-    df = listing(spark, sf, NUMERIC + [TARGET, CATEGORY, "row_key"], fold=True)
+    df = staged_listing(spark, sf, NUMERIC + [TARGET, CATEGORY, "row_key"], fold=True)
     flow = _flow().fit(df.where("fold <> 0"))
     out = flow.transform(df)
     return rounded(describe(out, flow.selected + [TARGET]), 4)
@@ -477,6 +477,6 @@ def feature_flow(spark, sf):
 @query()
 def feature_flow_new_rows(spark, sf):
     """Fit on four folds, transform the fifth with the stored state only."""
-    df = listing(spark, sf, NUMERIC + [TARGET, CATEGORY, "row_key"], fold=True)
+    df = staged_listing(spark, sf, NUMERIC + [TARGET, CATEGORY, "row_key"], fold=True)
     flow = _flow(selection=None).fit(df.where("fold <> 4"))
     return rounded(flow.transform(df.where("fold = 4")), 6)

@@ -10,7 +10,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from gramlark.catalog.base import q, query, rounded
+from gramlark.catalog.base import q, query, rounded, staged_listing
 from gramlark.functions.moments import gram_by, total
 from gramlark.operators import folds
 from gramlark.operators.impute import handle_missing
@@ -29,7 +29,7 @@ SINGLES = ["median_income", "total_rooms", "housing_median_age", "population"]
 
 def complete(spark, sf):
     """Listing with median-filled bedrooms and folds: what the solvers need."""
-    df = listing(spark, sf, NUMERIC + [TARGET, "row_key"], fold=True)
+    df = staged_listing(spark, sf, NUMERIC + [TARGET, "row_key"], fold=True)
     return handle_missing(df, "median", indicators=False)
 
 
@@ -91,7 +91,7 @@ def fold_size_stats(spark, sf):
 SELECT CASE WHEN fold = 2 THEN 'validation' ELSE 'train' END AS side, count(*) AS rows, {q(f'avg({TARGET})', 4)} AS mean
 FROM listing GROUP BY 1"""))
 def split_by_ids(spark, sf):
-    df = listing(spark, sf, ["row_key", TARGET], fold=True)
+    df = staged_listing(spark, sf, ["row_key", TARGET], fold=True)
     train, validation = folds.split_by_ids(df, df.where("fold = 2"), "row_key")
     one = lambda part, name: part.agg(
         F.lit(name).alias("side"), F.count("*").alias("rows"), F.avg(TARGET).alias("mean")
@@ -108,7 +108,7 @@ _GRAM_COLS = [X1, X2, "housing_median_age", TARGET]
     f"SELECT fold, '{a}' AS column_a, '{b}' AS column_b, count(*) AS n, {q(f'covar_pop({a}, {b})', 4)} AS covariance FROM listing GROUP BY 1"
     for a in _GRAM_COLS for b in _GRAM_COLS)))
 def gram_by_fold(spark, sf):
-    df = listing(spark, sf, _GRAM_COLS, fold=True)
+    df = staged_listing(spark, sf, _GRAM_COLS, fold=True)
     grams = gram_by(df, _GRAM_COLS[:-1], TARGET, "fold")
     rows = [
         (k, a, b, int(g.n), float(g.scatter[i, j] / g.n))
@@ -149,7 +149,7 @@ ALPHA, L1 = 250.0, 0.3
 
 def _fit_rows(spark, sf, features, models):
     """Coefficients per fold's training side: rows (model, fold, coef..., intercept)."""
-    df = listing(spark, sf, features + [TARGET], fold=True)
+    df = staged_listing(spark, sf, features + [TARGET], fold=True)
     grams = search.fold_grams(df, features, TARGET)
     rows = []
     for k in grams.folds:
@@ -274,7 +274,7 @@ gd AS (SELECT 0 AS epoch, 0.0::DOUBLE AS b, ({rate.format(e='0')}) * s.rho AS nb
 
 
 def _gd_rows(spark, sf, **args):
-    df = listing(spark, sf, [X1, TARGET])
+    df = staged_listing(spark, sf, [X1, TARGET])
     gram = gram_by(df, [X1], TARGET)[0]
     m = fit_linear(gram, method="gradient", max_iter=EPOCHS, val=gram, **args)
     return rounded(m.history_frame(spark).drop("model"), 0)
@@ -322,7 +322,7 @@ SELECT {q('n * xy / (n * xx + ' + str(ALPHA) + '::DOUBLE)', 5)} AS coef FROM (
   SELECT count(*)::DOUBLE AS n, covar_pop({X1}, {TARGET}) AS xy, var_pop({X1}) AS xx FROM listing)"""))
 def fit_ridge_spark_ml(spark, sf):
     """The built-in regression with a translated penalty."""
-    df = listing(spark, sf, [X1, TARGET])
+    df = staged_listing(spark, sf, [X1, TARGET])
     m = fit_mllib(df, [X1], TARGET, "ridge_regression", ALPHA)
     return rounded(spark.createDataFrame([(float(m.coef[0]),)], "coef double"), 5)
 
@@ -347,7 +347,7 @@ def predict_out_of_fold(spark, sf):
 
 def out_of_fold(spark, sf):
     """Every row predicted by the fit that did not see its fold."""
-    df = listing(spark, sf, [X1, TARGET, "row_key"], fold=True)
+    df = staged_listing(spark, sf, [X1, TARGET, "row_key"], fold=True)
     grams = search.fold_grams(df, [X1], TARGET)
     yhat = None
     for k in grams.folds:
@@ -371,7 +371,7 @@ def _single_cv(spark, sf):
     """Four one-feature least-squares models, cross-validated from shared Grams."""
     from gramlark.functions.moments import error_sums, metrics_from_sums
 
-    df = listing(spark, sf, SINGLES + [TARGET], fold=True)
+    df = staged_listing(spark, sf, SINGLES + [TARGET], fold=True)
     grams = search.fold_grams(df, SINGLES, TARGET)
     fits = []
     for name in SINGLES:
@@ -443,7 +443,7 @@ sc AS (SELECT candidate, alpha, s.fold, v.yy - 2 * b * v.xy + b * b * v.xx + pow
 @query(with_listing(f"SELECT candidate, alpha, {q('avg(mse)', 0)} AS mse, {q('stddev_pop(mse)', 0)} AS mse_std FROM sc GROUP BY 1, 2",
                     _grid_sql(_GRID)))
 def grid_search_ridge(spark, sf):
-    df = listing(spark, sf, [X1, TARGET], fold=True)
+    df = staged_listing(spark, sf, [X1, TARGET], fold=True)
     frame, _ = search.grid_search(spark, search.fold_grams(df, [X1], TARGET), "ridge_regression")
     return rounded(frame.drop("model", "l1_ratio"), {"mse": 0, "mse_std": 0})
 
@@ -467,7 +467,7 @@ def grid_search_all(spark, sf):
 
 @query(with_listing(f"SELECT candidate, alpha, {q('mse', 0)} AS mse FROM sc WHERE fold = 0", _grid_sql([1.0, 0.001, 100.0])))
 def reduced_search_ridge(spark, sf):
-    df = listing(spark, sf, [X1, TARGET], fold=True)
+    df = staged_listing(spark, sf, [X1, TARGET], fold=True)
     grams = search.fold_grams(df, [X1], TARGET)
     frame, _ = search.reduced_search(spark, grams.train(0), grams.folds[0], "ridge_regression")
     return rounded(frame.drop("model"), {"mse": 0})
@@ -478,7 +478,7 @@ _SENS = [0.01, 1.0, 100.0, 10000.0]
 
 @query(with_listing(f"SELECT alpha AS setting, {q('1 - mse / vyy', 8)} AS val_r2 FROM sc WHERE fold = 0", _grid_sql(_SENS)))
 def sensitivity_ridge(spark, sf):
-    df = listing(spark, sf, [X1, TARGET], fold=True)
+    df = staged_listing(spark, sf, [X1, TARGET], fold=True)
     grams = search.fold_grams(df, [X1], TARGET)
     frame = search.sensitivity(spark, grams.train(0), grams.folds[0], "ridge_regression", "alpha", _SENS)
     return rounded(frame.select("setting", "val_r2"), {"val_r2": 8})
@@ -487,7 +487,7 @@ def sensitivity_ridge(spark, sf):
 @query(with_listing(f"""SELECT 4::BIGINT AS settings, {q('max(1 - mse / vyy) - min(1 - mse / vyy)', 8)} AS r2_range,
  {q('stddev_pop(1 - mse / vyy)', 8)} AS r2_std FROM sc WHERE fold = 0""", _grid_sql(_SENS)))
 def sensitivity_ridge_spread(spark, sf):
-    df = listing(spark, sf, [X1, TARGET], fold=True)
+    df = staged_listing(spark, sf, [X1, TARGET], fold=True)
     grams = search.fold_grams(df, [X1], TARGET)
     frame = search.sensitivity(spark, grams.train(0), grams.folds[0], "ridge_regression", "alpha", _SENS)
     return rounded(search.sensitivity_spread(frame).drop("model", "parameter"), 8)
@@ -524,14 +524,14 @@ curve AS (SELECT s.fold, step, any_value(rows) AS rows, any_value(train_mse) AS
 
 @query(with_listing(f"SELECT fold, step, rows, {q('train_mse', 0)} AS train_mse, {q('val_mse', 0)} AS val_mse FROM curve", _CURVE))
 def learning_curve(spark, sf):
-    df = listing(spark, sf, [X1, TARGET, "row_key"], fold=True)
+    df = staged_listing(spark, sf, [X1, TARGET, "row_key"], fold=True)
     return rounded(search.learning_curve(df, [X1], TARGET, "row_key").drop("model"), 0)
 
 
 @query(with_listing(f"""SELECT step, {q('avg(rows)', 4)} AS mean_rows, {q('avg(train_mse)', 0)} AS train_mean, {q('stddev_pop(train_mse)', 0)} AS train_std,
   {q('avg(val_mse)', 0)} AS val_mean, {q('stddev_pop(val_mse)', 0)} AS val_std FROM curve GROUP BY 1""", _CURVE))
 def learning_curve_bands(spark, sf):
-    df = listing(spark, sf, [X1, TARGET, "row_key"], fold=True)
+    df = staged_listing(spark, sf, [X1, TARGET, "row_key"], fold=True)
     out = search.learning_curve_summary(search.learning_curve(df, [X1], TARGET, "row_key"))
     return rounded(out.drop("model"), {"mean_rows": 4, "train_mean": 0, "train_std": 0, "val_mean": 0, "val_std": 0})
 
@@ -553,7 +553,7 @@ _EPOCH = datetime(2024, 1, 1)
 
 def saved_models(spark, sf):
     """One single-feature model per feature and fold, stamped by fold."""
-    df = listing(spark, sf, SINGLES + [TARGET], fold=True)
+    df = staged_listing(spark, sf, SINGLES + [TARGET], fold=True)
     grams = search.fold_grams(df, SINGLES, TARGET)
     rows = []
     for name in SINGLES:
@@ -617,7 +617,7 @@ def registry_weight_stats(spark, sf):
     "(round(yy - 2 * nb * rho + nb * nb, 0)", "(round(arg_max(yy - 2 * nb * rho + nb * nb, epoch), 0)").replace(
     "AS loss,", "AS final_loss,").replace("AS val_loss FROM", "AS final_val_loss FROM"))
 def training_final_losses(spark, sf):
-    df = listing(spark, sf, [X1, TARGET])
+    df = staged_listing(spark, sf, [X1, TARGET])
     gram = gram_by(df, [X1], TARGET)[0]
     m = fit_linear(gram, method="gradient", learning_rate=0.1, max_iter=EPOCHS, val=gram)
     return rounded(registry.final_losses(m.history_frame(spark)).drop("model"), 0)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gramlark.catalog.base import long_cte, q, query, rounded
+from gramlark.catalog.base import long_cte, q, query, rounded, staged_listing
 from gramlark.functions.expressions import flag
 from gramlark.operators import profile
 from gramlark.operators.correlate import correlation_rows, target_correlations
@@ -60,7 +60,7 @@ _DESCRIBE_DIGITS = {"mean": 4, "std": 4, "min": 6, "q25": 6, "q50": 6, "q75": 6,
 
 @query(with_listing(_DESCRIBE, long_cte(ALL_NUMERIC)))
 def describe_numeric(spark, sf):
-    return rounded(profile.describe(listing(spark, sf, ALL_NUMERIC)), _DESCRIBE_DIGITS)
+    return rounded(profile.describe(staged_listing(spark, sf, ALL_NUMERIC)), _DESCRIBE_DIGITS)
 
 
 @query(with_listing(f"""
@@ -103,7 +103,7 @@ SELECT '{TARGET}' AS "column", count(*) AS rows, count(*) FILTER ({TARGET} IS NU
 FROM listing"""))
 def target_profile(spark, sf):
     return rounded(
-        profile.target_profile(listing(spark, sf, [TARGET])),
+        profile.target_profile(staged_listing(spark, sf, [TARGET])),
         {"min": 6, "max": 6, "mean": 4, "median": 6, "std": 4, "q25": 6, "q75": 6},
     )
 
@@ -132,7 +132,7 @@ UNION ALL SELECT 'target', key, value FROM (SELECT {q(f'count({TARGET})', 4)} AS
   {q(f'max({TARGET})', 4)} AS max FROM listing) UNPIVOT (value FOR key IN (count, mean, std, min, q25, q50, q75, max))
 """, f"t AS (SELECT count(*)::DOUBLE AS rows, ({_nulls_sql(RAW_COLUMNS)})::DOUBLE AS nulls FROM listing)"))
 def validate_processed(spark, sf):
-    return rounded(profile.validate_processed(listing(spark, sf)), 4)
+    return rounded(profile.validate_processed(staged_listing(spark, sf)), 4)
 
 
 @query(with_listing(f"""
@@ -141,7 +141,7 @@ SELECT count(*) AS raw_rows, 10::BIGINT AS raw_columns, {_nulls_sql(RAW_COLUMNS)
        6::BIGINT AS new_features, 0::BIGINT AS rows_added, {_nulls_sql(RAW_COLUMNS)} AS nulls_removed
 FROM listing"""))
 def compare_before_after(spark, sf):
-    raw = listing(spark, sf)
+    raw = staged_listing(spark, sf)
     return profile.compare_tables(raw, ratio_features(handle_missing(raw, "median")))
 
 
@@ -150,7 +150,7 @@ SELECT 'common' AS kind, 10::BIGINT AS columns, count(*) AS rows FROM listing
 UNION ALL SELECT 'new', 6, count(*) FROM listing
 UNION ALL SELECT 'removed', 0, count(*) FROM listing"""))
 def compare_column_sets(spark, sf):
-    raw = listing(spark, sf)
+    raw = staged_listing(spark, sf)
     after = ratio_features(handle_missing(raw, "median"))
     sets = compare_columns(raw, after)
     entries = [
@@ -175,7 +175,7 @@ def corr_sql(columns, source="listing", fn="corr"):
 
 @query(with_listing(corr_sql(ALL_NUMERIC)))
 def correlation_pearson(spark, sf):
-    return rounded(correlation_rows(listing(spark, sf, ALL_NUMERIC)), 8)
+    return rounded(correlation_rows(staged_listing(spark, sf, ALL_NUMERIC)), 8)
 
 
 _SP = ["housing_median_age", "total_bedrooms", "population", "median_income", TARGET]
@@ -195,7 +195,7 @@ def _spearman_pair(a, b):
 
 @query(with_listing(" UNION ALL ".join(_spearman_pair(a, b) for a in _SP for b in _SP)))
 def correlation_spearman(spark, sf):
-    return rounded(correlation_rows(listing(spark, sf, _SP), "spearman"), 8)
+    return rounded(correlation_rows(staged_listing(spark, sf, _SP), "spearman"), 8)
 
 
 _KT = ["housing_median_age", "median_income", "total_rooms"]
@@ -216,21 +216,21 @@ def _kendall_pair(a, b):
 
 @query(with_listing(" UNION ALL ".join(_kendall_pair(a, b) for a in _KT for b in _KT)))
 def correlation_kendall(spark, sf):
-    return rounded(correlation_rows(listing(spark, sf, _KT), "kendall"), 8)
+    return rounded(correlation_rows(staged_listing(spark, sf, _KT), "kendall"), 8)
 
 
 @query(with_listing(" UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", {q(f'abs(corr({c}, {TARGET}))', 8)} AS strength FROM listing" for c in NUMERIC)))
 def target_correlation(spark, sf):
-    pairs = target_correlations(listing(spark, sf, ALL_NUMERIC), TARGET)
+    pairs = target_correlations(staged_listing(spark, sf, ALL_NUMERIC), TARGET)
     return rounded(spark.createDataFrame(pairs, "column string, strength double"), 8)
 
 
 @query()
 def exploration_rows(spark, sf):
-    return exploration_report(listing(spark, sf))
+    return exploration_report(staged_listing(spark, sf))
 
 
 @query()
 def preprocessing_requirement_rows(spark, sf):
-    return preprocessing_requirements(listing(spark, sf))
+    return preprocessing_requirements(staged_listing(spark, sf))

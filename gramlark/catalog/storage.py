@@ -7,7 +7,7 @@ from uuid import uuid4
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gramlark.catalog.base import q, query, rounded
+from gramlark.catalog.base import q, query, rounded, staged_listing
 from gramlark.catalog.evaluation import DIGITS, _ERR, _EXPR
 from gramlark.catalog.models import out_of_fold
 from gramlark.operators import evaluate, folds, profile
@@ -80,7 +80,7 @@ def scan_all_folds(spark, sf):
 @query(with_listing("SELECT fold, count(*) AS rows FROM listing GROUP BY 1"))
 def scan_fold_ids(spark, sf):
     """Explicit id files per fold, read back and joined to the rows."""
-    df = listing(spark, sf, ["row_key"], fold=True).withColumn("row_id", F.xxhash64("row_key"))
+    df = staged_listing(spark, sf, ["row_key"], fold=True).withColumn("row_id", F.xxhash64("row_key"))
     paths = {}
     for k in range(5):
         paths[k] = _path(spark, f"ids-{k}")
@@ -106,7 +106,7 @@ def scan_cv_summary(spark, sf):
     f"SELECT '{c}' AS \"column\", count({c}) AS count, {q(f'avg({c})', 4)} AS mean FROM listing" for c in NUMERIC)))
 def sink_profile(spark, sf):
     path = _path(spark, "profile")
-    tables.write_rows(profile.describe(listing(spark, sf, NUMERIC)), path)
+    tables.write_rows(profile.describe(staged_listing(spark, sf, NUMERIC)), path)
     return rounded(spark.read.parquet(path).select("column", "count", "mean"), 4)
 
 
@@ -125,7 +125,7 @@ def sink_metrics(spark, sf):
 @query()
 def flow_state_round_trip(spark, sf):
     """Save a fitted flow, load it, and compare both on all rows."""
-    df = listing(spark, sf, RAW_COLUMNS + ["row_key"])
+    df = staged_listing(spark, sf, RAW_COLUMNS + ["row_key"])
     flow = FeatureFlow(cluster_starts=1, selection="correlation", k_best=8, keys=("row_key",)).fit(df)
     path = _path(spark, "flow")
     flow.save(spark, path)

@@ -128,12 +128,13 @@ def gram_by(
 ) -> dict[int, Gram]:
     """Gram statistics of ``[features, target]`` per integer group ``by``.
 
-    Missing values are an error: impute first.
+    ``shift`` names constants near the column means (0 for columns it leaves
+    out) and saves the pass that would find the means.  Missing values are an error: impute first.
     """
     names = list(features) + [target]
     m = len(names)
     center = (
-        np.array([float(shift[c]) for c in names]) if shift else column_means(df, names)
+        np.array([float(shift.get(c, 0.0)) for c in names]) if shift else column_means(df, names)
     )
 
     def cells(z):

@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gramlark.session import stage
+from gramlark.session import is_staged, stage
 
 SMALL_GROUP_ROWS = 1_000_000
 BINS = 1024
@@ -42,7 +42,10 @@ def to_long(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
     by = list(by)
     typed = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
     long = typed.unpivot(by, list(columns), "column", "v")
-    return long.where(F.col("v").isNotNull() & ~F.isnan("v"))
+    keep = F.col("v").isNotNull() & ~F.isnan("v")
+    for b in by:
+        keep = keep & F.col(b).isNotNull()
+    return long.where(keep)
 
 
 def exact_quantiles(
@@ -63,8 +66,6 @@ def exact_quantiles(
     by = list(by)
     probs = [float(p) for p in probs]
     narrow = df.select(*by, *columns)
-    for b in by:
-        narrow = narrow.where(F.col(b).isNotNull())
     long = to_long(narrow, columns, by)
     keys = by + ["column"]
     finite = F.when(F.abs("v") < F.lit(math.inf), F.col("v"))
@@ -88,8 +89,9 @@ def exact_quantiles(
     if not big:
         return result
 
-    staged = to_long(stage(narrow, "quantile-input"), columns, by)
-    values = _narrow(staged, by, big, probs, bins, final_rows)
+    source = df if is_staged(df) else stage(narrow, "quantile-input")
+    again = to_long(source, columns, by)
+    values = _narrow(again, by, big, probs, bins, final_rows)
     rows = []
     for r in big:
         g = tuple(r[b] for b in by)

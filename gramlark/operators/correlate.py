@@ -62,7 +62,7 @@ def _null_columns(df: DataFrame, columns: list[str]) -> set[str]:
 def _ranked(df: DataFrame, columns: list[str]) -> DataFrame:
     """Replace values by average ranks, one lookup per column."""
     long = df.unpivot([], columns, "column", "v")
-    ranks = stage(value_ranks(long, "v", ["column"]), "ranks")
+    ranks = value_ranks(long, "v", ["column"])
     out = df
     for c in columns:
         table = ranks.where(F.col("column") == c).select(
@@ -124,9 +124,10 @@ def kendall_tau_b(df: DataFrame, x: str, y: str, block: int = 4096) -> float:
         per = joint.groupBy(F.col(col).alias("v")).agg(F.sum("w").alias("w"))
         ties = per.agg(
             F.sum("w").alias("n"),
+            F.count("*").alias("distinct"),
             F.sum(F.col("w").cast("decimal(38,0)") * (F.col("w") - 1) / 2).cast("double").alias("t"),
         ).first()
-        ranks = stage(value_ranks(per.select("v"), "v"), "kendall-ranks")
+        ranks = value_ranks(per.select("v"), "v")
         return ranks.select(F.col("v").alias(col), F.col("dense").alias(f"r{col}")), ties
 
     rx, tx = weighted_ranks("x")
@@ -137,11 +138,8 @@ def kendall_tau_b(df: DataFrame, x: str, y: str, block: int = 4096) -> float:
     pairs = n * (n - 1) / 2.0
     if tx["t"] >= pairs or ty["t"] >= pairs:
         return math.nan
-    ranked = stage(
-        attach(attach(joint, rx, "x"), ry, "y").select("rx", "ry", "w"), "kendall-joint"
-    )
-    top = ranked.agg(F.max("ry").alias("m")).first()["m"]
-    levels = max(1, int(top).bit_length())
+    ranked = attach(attach(joint, rx, "x"), ry, "y").select("rx", "ry", "w")
+    levels = max(1, (ty["distinct"] - 1).bit_length())
     lv = F.explode(F.sequence(F.lit(0), F.lit(levels - 1)))
     bits = ranked.withColumn("level", lv)
     bit = F.expr("shiftright(ry, level) & 1")

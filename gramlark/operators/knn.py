@@ -28,36 +28,49 @@ from gramlark.functions.expressions import hashed_bucket
 from gramlark.functions.quantiles import quantile_map
 from gramlark.session import stage
 
+SLICE_ROWS, MAX_SLICES = 2_000, 2_000
 CELL_ROWS = 50_000
 VISITOR_ROWS = 20_000
 CHUNK_CELLS = 4_000_000
+SPARE = 16
+
+
+def _distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Distances of rows of ``q`` to rows of ``x``, both ``[rows, columns]``
+    with a leading batch axis allowed; infinite if no column is shared."""
+    diff = q - x
+    shared = (~np.isnan(diff)).sum(axis=-1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        d = np.sqrt(np.nansum(diff * diff, axis=-1) * (q.shape[-1] / shared))
+    return np.where(shared > 0, d, np.inf)
 
 
 def _nearest(q: np.ndarray, x: np.ndarray, has: np.ndarray, k: int):
-    """Distances and positions of the k nearest rows of ``x`` per row of ``q``.
+    """Distances and positions of the k nearest donor rows of ``x`` per row of ``q``.
 
-    ``has`` marks donors holding the wanted value; NaN are missing cells.
+    ``has`` marks rows holding the wanted value; NaN are missing cells.  Matrix
+    products give all distances up to rounding, and the exact distances of a
+    few more than k candidates decide.
     """
-    p = x.shape[1]
-    px, pq = ~np.isnan(x), ~np.isnan(q)
     donors = np.flatnonzero(has)
     if len(donors) == 0:
         return np.empty((len(q), 0)), np.empty((len(q), 0), int)
-    xd, pd_ = np.where(px, x, 0.0)[donors], px[donors]
-    qd = np.where(pq, q, 0.0)
-    d2 = np.zeros((len(q), len(donors)))
-    shared = np.zeros_like(d2)
-    for j in range(p):
-        both = pq[:, j][:, None] & pd_[:, j][None, :]
-        diff = qd[:, j][:, None] - xd[:, j][None, :]
-        d2 += np.where(both, diff * diff, 0.0)
-        shared += both
+    xd = x[donors]
+    with np.errstate(all="ignore"):
+        center = np.nan_to_num(np.nanmean(xd, axis=0)) if len(xd) else 0.0
+    px, pq = ~np.isnan(xd), ~np.isnan(q)
+    x0, q0 = np.where(px, xd - center, 0.0), np.where(pq, q - center, 0.0)
+    fx, fq = px.astype(float), pq.astype(float)
+    d2 = (q0 * q0) @ fx.T + fq @ (x0 * x0).T - 2.0 * (q0 @ x0.T)
+    shared = fq @ fx.T
     with np.errstate(divide="ignore", invalid="ignore"):
-        dist = np.sqrt(np.where(shared > 0, d2 * p / shared, np.nan))
-    dist = np.where(np.isnan(dist), np.inf, dist)
-    kk = min(k, dist.shape[1])
-    near = np.argpartition(dist, kk - 1, axis=1)[:, :kk]
-    return np.take_along_axis(dist, near, axis=1), donors[near]
+        d2 = np.where(shared > 0, d2 / shared, np.inf)
+    wide = min(k + SPARE, len(donors))
+    near = np.argpartition(d2, wide - 1, axis=1)[:, :wide]
+    exact = _distances(q[:, None, :], xd[near])
+    kk = min(k, wide)
+    best = np.argsort(exact, axis=1, kind="stable")[:, :kk]
+    return np.take_along_axis(exact, best, axis=1), donors[np.take_along_axis(near, best, axis=1)]
 
 
 def knn_impute(
@@ -87,8 +100,8 @@ def knn_impute(
     anchor = _anchor(rows, columns, counts)
     n = counts["n"]
 
-    # slices of the anchor column, at most cell_rows donors each up to ties
-    n_slices = max(1, min(2000, n // max(cell_rows // 4, 1)))
+    # slices of the anchor column of about equal size, up to ties
+    n_slices = max(1, min(MAX_SLICES, n // SLICE_ROWS))
     probs = [i / n_slices for i in range(1, n_slices)]
     edges = sorted(set(quantile_map(rows, [anchor], probs).get(anchor, []))) if probs else []
     a = F.col(anchor).cast("double")

@@ -12,7 +12,7 @@ from gramlark.functions.expressions import clip, flag
 from gramlark.functions.quantiles import quantile_map
 from gramlark.operators.forest import IsolationScorer
 from gramlark.schema import TARGET, numeric_columns
-from gramlark.session import stage
+from gramlark.session import is_staged, stage
 
 METHODS = ("iqr", "zscore", "isolation_forest")
 ACTIONS = ("clip", "mark", "remove")
@@ -109,7 +109,7 @@ def remove_outliers(
     aggregate job per column.  The input is staged once and every step is a
     filter with known limits on top of it.
     """
-    kept = stage(df, "remove-outliers")
+    kept = df if is_staged(df) else stage(df, "remove-outliers")
     for c in columns:
         if method == "isolation_forest":
             kept = IsolationScorer.fit(kept, c).remove(kept)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gramlark.functions.moments import Gram, gram_by
@@ -15,6 +16,17 @@ METHODS = ("correlation", "mutual_info", "rfe", "hybrid")
 MI_BINS = 10
 
 
+def correlation_order(gram: Gram) -> list[str]:
+    """Features by absolute correlation with the target, from one Gram."""
+    s = gram.scatter
+    var = np.diag(s)
+    flat = var[:-1] <= 1e-12 * np.maximum(np.diag(gram.q)[:-1], 1e-300)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        r = np.abs(s[:-1, -1]) / np.sqrt(var[:-1] * var[-1])
+    r = np.where(flat | ~np.isfinite(r), -1.0, r)
+    return [gram.features[i] for i in np.argsort(-r, kind="stable")]
+
+
 def by_correlation(df: DataFrame, features: list[str], target: str, k: int) -> list[str]:
     return [c for c, _ in target_correlations(df, target, features)][:k]
 
@@ -50,16 +62,16 @@ def mutual_information(
 ) -> DataFrame:
     """Mutual information (nats) of each feature with the target, from bins."""
     joint = binned_counts(df, features, target, bins)
-    px = joint.groupBy("column", "bx").agg(F.sum("n").alias("nx"))
-    py = joint.groupBy("column", "by").agg(F.sum("n").alias("ny"))
-    n = joint.groupBy("column").agg(F.sum("n").alias("total"))
+    # the joint table is bounded by features x bins x bins, so windows over it are small
+    over = lambda *keys: F.sum("n").over(W.partitionBy(*keys))
+    marginal = joint.select(
+        "column", "n", over("column", "bx").alias("nx"), over("column", "by").alias("ny"),
+        over("column").alias("total"),
+    )
     term = (F.col("n") / F.col("total")) * F.log(
         F.col("n") * F.col("total") / (F.col("nx") * F.col("ny"))
     )
-    return (
-        joint.join(px, ["column", "bx"]).join(py, ["column", "by"]).join(n, "column")
-        .groupBy("column").agg(F.sum(term).alias("mutual_info"))
-    )
+    return marginal.groupBy("column").agg(F.sum(term).alias("mutual_info"))
 
 
 def by_mutual_information(df, features, target, k, bins: int = MI_BINS) -> list[str]:
@@ -94,9 +106,12 @@ def by_elimination(df: DataFrame, features: list[str], target: str, k: int) -> l
 
 def select_features(
     df: DataFrame, target: str = TARGET, method: str = "hybrid", k_best: int = 20,
-    features: list[str] | None = None,
+    features: list[str] | None = None, shift: dict[str, float] | None = None,
 ) -> list[str]:
-    """Names of the selected features (the target is not among them)."""
+    """Names of the selected features (the target is not among them).
+
+    ``shift`` passes on column means the caller already knows.
+    """
     features = features or numeric_columns(df, exclude=(target,))
     if method == "correlation":
         return by_correlation(df, features, target, k_best)
@@ -106,6 +121,8 @@ def select_features(
         return by_elimination(df, features, target, k_best)
     if method != "hybrid":
         raise ValueError(f"unknown method: {method}")
-    strong = by_correlation(df, features, target, max(1, len(features) // 2))
+    # one Gram serves the correlation filter and the elimination
+    gram = gram_by(df, features, target, shift=shift)[0]
+    strong = correlation_order(gram)[: max(1, len(features) // 2)]
     informative = by_mutual_information(df, strong, target, max(1, len(strong) // 2))
-    return by_elimination(df, informative, target, min(k_best, len(informative)))
+    return eliminate(gram.select(informative), min(k_best, len(informative)))

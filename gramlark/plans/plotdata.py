@@ -34,7 +34,9 @@ def _ranges(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]
 def bin_index(value, lo: float, hi: float, bins: int):
     """0-based equal-width bin; the upper end belongs to the last bin."""
     raw = F.floor((value - F.lit(lo)) / F.lit((hi - lo) / bins))
-    return F.greatest(F.least(raw, F.lit(bins - 1)), F.lit(0)).cast("int")
+    inside = F.greatest(F.least(raw, F.lit(bins - 1)), F.lit(0))
+    # least() and greatest() skip NULL, which must not count as a bin
+    return F.when(value.isNotNull(), inside).cast("int")
 
 
 def histogram(

@@ -46,13 +46,35 @@ def stage_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_STAGED: list[str] = []
+
+
 def stage(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage in a way that survives the loss of executors and keeps
-    column pruning for the passes that follow.
+    column pruning for the passes that follow.  Worth its write wherever more
+    than one pass over joined or derived rows follows.
     """
     spark = df.sparkSession
     path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _STAGED.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._gramlark_staged = True
+    return out
+
+
+def is_staged(df: DataFrame) -> bool:
+    """True for a table returned by ``stage`` (not for frames derived from it)."""
+    return getattr(df, "_gramlark_staged", False)
+
+
+def release_staged(spark: SparkSession) -> int:
+    """Delete the tables staged so far; frames built on them can no longer run."""
+    jvm, count = spark._jvm, 0
+    conf = spark._jsc.hadoopConfiguration()
+    while _STAGED:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        count += bool(path.getFileSystem(conf).delete(path, True))
+    return count
