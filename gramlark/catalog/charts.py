@@ -86,7 +86,15 @@ def correlation_lower_triangle(spark, sf):
     return rounded(plotdata.correlation_triangle(staged_listing(spark, sf, ALL_NUMERIC)), 8)
 
 
-@query()
+_RANKED = f"""
+st AS ({" UNION ALL ".join(f"SELECT '{c}' AS c, abs(corr({c}, {TARGET})) AS r FROM listing" for c in NUMERIC)}),
+pos AS (SELECT c, row_number() OVER (ORDER BY r DESC) AS p FROM st UNION ALL SELECT '{TARGET}', 99),
+allc AS ({" UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM listing" for a in ALL_NUMERIC for b in ALL_NUMERIC if a != b)})"""
+
+
+@query(with_listing(f"""SELECT a AS column_a, b AS column_b, {q('r', 8)} AS correlation FROM allc
+JOIN pos pa ON a = pa.c JOIN pos pb ON b = pb.c
+WHERE pa.p > pb.p AND (pa.p <= 4 OR pa.p = 99) AND pb.p <= 4""", _RANKED))
 def correlation_top_block(spark, sf):
     return rounded(plotdata.top_correlation_block(staged_listing(spark, sf, ALL_NUMERIC), n=4), 8)
 
@@ -135,16 +143,30 @@ def income_value_pairs(spark, sf):
     return rounded(plotdata.binned_pairs(df, F.col("median_income"), F.col(TARGET)), 4)
 
 
-@query()
+def _pairs_sql(x, y):
+    return with_listing(
+        f"""SELECT {_bin('x', 'xl', 'xh', 40)} AS x_bin, {_bin('y', 'yl', 'yh', 40)} AS y_bin, count(*) AS count,
+  {q('sum(x)', 3)} AS x_total, {q('sum(y)', 3)} AS y_total FROM pr, lim GROUP BY 1, 2""",
+        _pred() + f""", pr AS (SELECT {x} AS x, {y} AS y FROM p),
+lim AS (SELECT min(x) AS xl, max(x) AS xh, min(y) AS yl, max(y) AS yh FROM pr)""",
+    )
+
+
+def _totals(pairs):
+    """Bin means as totals, which do not sit on rounding ties."""
+    total = lambda c: F.round(F.col(f"{c}_mean") * F.col("count"), 3).alias(f"{c}_total")
+    return pairs.select("x_bin", "y_bin", "count", total("x"), total("y"))
+
+
+@query(_pairs_sql("y", "yhat"))
 def predicted_actual_pairs(spark, sf):
-    return rounded(plotdata.binned_pairs(out_of_fold(spark, sf), F.col("y"), F.col("yhat")), 4)
+    return _totals(plotdata.binned_pairs(out_of_fold(spark, sf), F.col("y"), F.col("yhat")))
 
 
-@query()
+@query(_pairs_sql("yhat", "y - yhat"))
 def residual_pairs(spark, sf):
-    return rounded(
-        plotdata.binned_pairs(out_of_fold(spark, sf), F.col("yhat"), F.col("y") - F.col("yhat")), 4
-    )
+    df = out_of_fold(spark, sf)
+    return _totals(plotdata.binned_pairs(df, F.col("yhat"), F.col("y") - F.col("yhat")))
 
 
 @query(with_listing(f"""
@@ -172,11 +194,29 @@ def histogram_before_after(spark, sf):
     return out.select("version", "column", "bin", "count")
 
 
-@query()
+_AFTER = f"""aft AS (SELECT * REPLACE (coalesce(total_bedrooms, (SELECT median(total_bedrooms) FROM listing)) AS total_bedrooms) FROM listing),
+rat AS (SELECT *, total_rooms / households AS rooms_per_household, total_bedrooms / total_rooms AS bedrooms_per_room,
+  population / households AS population_per_household, median_income / (population / households) AS income_per_person,
+  median_income / (total_rooms / households) AS income_to_rooms_ratio FROM aft)"""
+_AFTER_COLS = NUMERIC + ["rooms_per_household", "bedrooms_per_room", "population_per_household",
+                         "income_per_person", "income_to_rooms_ratio"]
+
+
+def _top_sql(version, source, columns):
+    inner = " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", abs(corr({c}, {TARGET})) AS r FROM {source}" for c in columns
+    )
+    return (
+        f"SELECT '{version}' AS version, (row_number() OVER (ORDER BY r DESC))::INTEGER AS rank, \"column\","
+        f" {q('r', 8)} AS strength FROM ({inner}) QUALIFY row_number() OVER (ORDER BY r DESC) <= 5"
+    )
+
+
+@query(with_listing(f"({_top_sql('before', 'listing', NUMERIC)}) UNION ALL ({_top_sql('after', 'rat', _AFTER_COLS)})", _AFTER))
 def importance_before_after(spark, sf):
     before = staged_listing(spark, sf, NUMERIC + [TARGET])
-    after = ratio_features(handle_missing(before, "median"))
-    return rounded(plotdata.before_after_importance(before, after), 8)
+    after = ratio_features(handle_missing(before, "median", indicators=False))
+    return rounded(plotdata.before_after_importance(before, after, n=5), 8)
 
 
 @query(with_listing("SELECT \"column\", " + q("median(v)", 6) + " AS median FROM long GROUP BY 1", long_cte(ALL_NUMERIC)))

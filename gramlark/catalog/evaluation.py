@@ -75,7 +75,21 @@ def metrics_constant_target(spark, sf):
     return rounded(out.select("fold", "r2", "mae"), {"mae": 4})
 
 
-@query()
+def _text(name, prefix, digits, suffix):
+    if prefix:
+        return f"format('{prefix}{{:,.{digits}f}}{suffix}', {_EXPR[name]})"
+    return f"printf('%.{digits}f', {_EXPR[name]}) || '{suffix}'"
+
+
+def _summary_sql(head, key):
+    """One row per summary line; ``head(i)`` gives the leading columns."""
+    return " UNION ALL ".join(
+        f"SELECT {head(i)}, '{label}' AS {key}, {_text(n, p, d, x)} AS value FROM er"
+        for i, (n, label, p, d, x) in enumerate(evaluate.SUMMARY)
+    )
+
+
+@query(with_listing(_summary_sql(lambda i: f"{i}::INTEGER AS position", "metric"), _ERR_ALL))
 def metrics_summary_text(spark, sf):
     df = out_of_fold(spark, sf)
     return evaluate.metrics_summary(evaluate.all_metrics(df, F.col("y"), F.col("yhat")))
@@ -94,7 +108,21 @@ def metrics_assessment(spark, sf):
                         "high_variability", "ready")
 
 
-@query()
+_BANDS = {
+    "explanatory_power": "CASE WHEN r2 > 0.8 THEN 'excellent' WHEN r2 > 0.6 THEN 'good' ELSE 'moderate' END",
+    "accuracy": "CASE WHEN mape < 10 THEN 'high' WHEN mape < 20 THEN 'good' ELSE 'needs improvement' END",
+    "needs_features": "(r2 < 0.7)::VARCHAR",
+    "needs_accuracy": "(mape > 15)::VARCHAR",
+    "high_variability": "(residual_std > mae)::VARCHAR",
+    "ready": "(r2 > 0.8 AND mape < 15)::VARCHAR",
+}
+
+
+@query(with_listing(
+    _summary_sql(lambda i: "'metrics' AS section", "key") + " UNION ALL "
+    + " UNION ALL ".join(f"SELECT 'assessment', '{k}', {e} FROM bands" for k, e in _BANDS.items()),
+    _ERR_ALL + ", bands AS (SELECT "
+    + ", ".join(f"{_EXPR[n]} AS {n}" for n in ("r2", "mape", "mae", "residual_std")) + " FROM er)"))
 def model_report_rows(spark, sf):
     return reports.model_report(out_of_fold(spark, sf), F.col("y"), F.col("yhat"))
 
@@ -162,6 +190,9 @@ def model_bars(spark, sf):
     return bars.select("model", "side", "metric", at("mean"), at("std"))
 
 
-@query()
+@query(with_listing(" UNION ALL ".join(
+    f"SELECT 'ranking' AS section, printf('%02d', rank) || '.{k}' AS key, {e} AS value FROM ranked"
+    for k, e in (("model", "model"), ("val_r2", "printf('%.4f', r2)"), ("val_rmse", "printf('%.2f', rmse)"))),
+    _VAL + ", ranked AS (SELECT row_number() OVER (ORDER BY r2 DESC)::INTEGER AS rank, model, r2, rmse FROM val)"))
 def selection_report_rows(spark, sf):
     return reports.selection_report(ranking.rank_models(_summary(spark, sf)))

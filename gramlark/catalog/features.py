@@ -255,12 +255,16 @@ def derived_polynomials(spark, sf):
     return rounded(df.drop(*_POLY), 6)
 
 
-@query()
+@query(with_listing(f"""SELECT "column" || '_' || "column" || '^2' AS "column", {q('m', 4)} AS mean FROM (
+""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", abs(corr({c}, {TARGET})) AS r, avg({c} * {c}) AS m FROM listing" for c in NUMERIC)
+    + ") ORDER BY r DESC LIMIT 5"))
 def derived_polynomials_top5(spark, sf):
-    """Squares of the five columns most correlated with the target, summed up."""
+    """Mean squares of the five columns most correlated with the target."""
     df = derive.polynomial_features(staged_listing(spark, sf, NUMERIC + [TARGET]))
     new = [c for c in df.columns if "^" in c]
-    return rounded(df.agg(*[F.avg(c).alias(c) for c in new]), 4)
+    means = df.agg(*[F.avg(c).alias(c) for c in new])
+    return rounded(means.unpivot([], [F.col(f"`{c}`") for c in new], "column", "mean"), 4)
 
 
 # -- row subsets ------------------------------------------------------------

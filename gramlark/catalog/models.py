@@ -623,7 +623,8 @@ def training_final_losses(spark, sf):
     return rounded(registry.final_losses(m.history_frame(spark)).drop("model"), 0)
 
 
-@query()
+@query(with_listing(f"""SELECT f.fold, count(*)::DOUBLE AS train_rows, {q(f'avg({TARGET})', 4)} AS train_mean
+FROM listing l JOIN (SELECT DISTINCT fold FROM listing) f ON l.fold <> f.fold GROUP BY 1"""))
 def fold_all_total(spark, sf):
     """Training side by subtraction equals a direct sum of the other folds."""
     grams = gram_by(complete(spark, sf), NUMERIC, TARGET, "fold")

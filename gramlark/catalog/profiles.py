@@ -226,11 +226,39 @@ def target_correlation(spark, sf):
     return rounded(spark.createDataFrame(pairs, "column string, strength double"), 8)
 
 
-@query()
+_STATS = {
+    "mean": "avg(v)", "std": "stddev_samp(v)", "min": "min(v)", "q25": "quantile_cont(v, 0.25)",
+    "q50": "quantile_cont(v, 0.5)", "q75": "quantile_cont(v, 0.75)", "max": "max(v)",
+}
+
+
+@query(with_listing(f"""
+SELECT 'columns' AS section, "column" || '.type' AS key, data_type AS value FROM info
+UNION ALL SELECT 'columns', "column" || '.non_null', non_null::VARCHAR FROM info
+UNION ALL SELECT 'shape', 'table.rows', count(*)::VARCHAR FROM listing
+UNION ALL SELECT 'shape', 'table.nulls', ({_nulls_sql(RAW_COLUMNS)})::VARCHAR FROM listing
+UNION ALL SELECT 'categories', 'ocean_proximity.' || ocean_proximity || '.count', count(*)::VARCHAR FROM listing
+  WHERE ocean_proximity IS NOT NULL GROUP BY 2
+""" + "".join(f"""UNION ALL SELECT 'statistics', "column" || '.{k}', printf('%.4f', {e}) FROM long GROUP BY "column"
+""" for k, e in _STATS.items()), f"info AS ({_INFO}), {long_cte(ALL_NUMERIC)}"))
 def exploration_rows(spark, sf):
     return exploration_report(staged_listing(spark, sf))
 
 
-@query()
+_FENCE = "v < q1 - 1.5::DOUBLE * (q3 - q1) OR v > q3 + 1.5::DOUBLE * (q3 - q1)"
+
+
+@query(with_listing(f"""
+{" UNION ALL ".join(f"SELECT 'missing_values' AS section, '{c}.count' AS key, count(*) FILTER ({c} IS NULL)::VARCHAR AS value FROM listing" for c in RAW_COLUMNS)}
+UNION ALL {" UNION ALL ".join(f"SELECT 'missing_values', '{c}.percent', printf('%.2f', count(*) FILTER ({c} IS NULL) * 100.0::DOUBLE / count(*)) FROM listing" for c in RAW_COLUMNS)}
+UNION ALL {" UNION ALL ".join(f"SELECT 'features', '{c}.kind', '{'categorical' if c == CATEGORY else 'numerical'}'" for c in RAW_COLUMNS)}
+UNION ALL SELECT 'outliers', "column" || '.count', count(*) FILTER ({_FENCE})::VARCHAR FROM long JOIN b USING ("column") GROUP BY "column"
+UNION ALL SELECT 'outliers', "column" || '.percent', printf('%.2f', count(*) FILTER ({_FENCE}) * 100.0::DOUBLE / (SELECT count(*) FROM listing)) FROM long JOIN b USING ("column") GROUP BY "column"
+UNION ALL SELECT 'outliers', "column" || '.lower', printf('%.2f', q1 - 1.5::DOUBLE * (q3 - q1)) FROM b
+UNION ALL SELECT 'outliers', "column" || '.upper', printf('%.2f', q3 + 1.5::DOUBLE * (q3 - q1)) FROM b
+UNION ALL SELECT 'data_quality', 'table.rows', count(*)::VARCHAR FROM listing
+UNION ALL SELECT 'data_quality', 'table.duplicates', sum(c - 1)::VARCHAR FROM (SELECT count(*) AS c FROM listing GROUP BY {RAW_LIST})
+""", long_cte() + """,
+b AS (SELECT "column", quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM long GROUP BY 1)"""))
 def preprocessing_requirement_rows(spark, sf):
     return preprocessing_requirements(staged_listing(spark, sf))

@@ -14,7 +14,7 @@ from gramlark.operators.profile import (
 )
 from gramlark.schema import TARGET, numeric_columns, string_columns
 
-NUMBER = "%.6g"
+NUMBER = "%.4f"
 
 
 def _rows(df: DataFrame, section: str, key, values: dict) -> DataFrame:
