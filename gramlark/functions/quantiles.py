@@ -183,7 +183,7 @@ def _place(found, queue, bracket: _Bracket) -> None:
 
 def _in_brackets(long: DataFrame, by: list[str], brackets: list[_Bracket]) -> DataFrame:
     key_schema = long.select(*by, "column").schema
-    schema = key_schema.add("bid", "int").add("lo", "double").add("hi", "double")
+    schema = key_schema.add("bid", "integer").add("lo", "double").add("hi", "double")
     table = long.sparkSession.createDataFrame(
         [(*b.group, b.column, i, b.lo, b.hi) for i, b in enumerate(brackets)], schema
     )

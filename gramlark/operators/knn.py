@@ -107,51 +107,48 @@ def knn_impute(
     a = F.col(anchor).cast("double")
     typed = rows.select("_id", *[F.col(c).cast("double").alias(c) for c in columns])
     slice_of = _slice_udf(edges)
-    donors = typed.withColumn("slice", F.when(a.isNotNull(), slice_of(a)).otherwise(F.lit(-1)))
-    spans = donors.groupBy("slice").agg(
-        F.count("*").alias("rows"), F.min(anchor).alias("lo"), F.max(anchor).alias("hi")
-    ).collect()  # one row per slice
-    salts = {r["slice"]: 1 + r["rows"] // cell_rows for r in spans}
+    donors = typed.withColumn("_slice", F.when(a.isNotNull(), slice_of(a)).otherwise(F.lit(-1)))
+    spans = donors.groupBy("_slice").agg(F.count("*").alias("_rows")).collect()  # one per slice
+    salts = {r["_slice"]: 1 + r["_rows"] // cell_rows for r in spans}
     span_table = F.broadcast(
         spark.createDataFrame(
-            [(r["slice"], salts[r["slice"]], r["lo"], r["hi"]) for r in spans],
-            "slice int, salts bigint, lo double, hi double",
+            [(r["_slice"], salts[r["_slice"]]) for r in spans], "_slice int, _salts bigint"
         )
     )
-    cells = donors.join(span_table.select("slice", "salts"), "slice").withColumn(
-        "cell", hashed_bucket(F.col("_id"), F.col("salts"))
+    cells = donors.join(span_table, "_slice").withColumn(
+        "_cell", hashed_bucket(F.col("_id"), F.col("_salts"))
     )
     open_rows = typed.where(" OR ".join(f"`{c}` IS NULL" for c in fill)).withColumn(
-        "missing", F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in fill]))
+        "_missing", F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in fill]))
     )
     # the home slice first; rows without an anchor value start in slice 0
     home = open_rows.withColumn(
-        "slice", F.when(a.isNotNull(), slice_of(a)).otherwise(F.lit(spans[0]["slice"]))
+        "_slice", F.when(a.isNotNull(), slice_of(a)).otherwise(F.lit(spans[0]["_slice"]))
     )
-    first = _search(cells, home.join(span_table, "slice"), columns, fill, k, visitor_rows)
+    first = _search(cells, home.join(span_table, "_slice"), columns, fill, k, visitor_rows)
     first = stage(first, "knn-first")
-    reach = _top(first, k).groupBy("_id", "fill").agg(F.count("*").alias("c"), F.max("dist").alias("d"))
+    reach = _top(first, k).groupBy("_id", "_fill").agg(F.count("*").alias("_c"), F.max("_dist").alias("_d"))
     reach = reach.groupBy("_id").agg(
-        F.count("*").alias("fills"),
-        F.max(F.when(F.col("c") < k, F.lit(float("inf"))).otherwise(F.col("d"))).alias("d"),
+        F.count("*").alias("_fills"),
+        F.max(F.when(F.col("_c") < k, F.lit(float("inf"))).otherwise(F.col("_d"))).alias("_d"),
     )
     inf = F.lit(float("inf"))
-    wide = home.withColumnRenamed("slice", "home").join(reach, "_id", "left")
-    far = F.when((F.size("missing") == F.col("fills")) & a.isNotNull(), F.col("d")).otherwise(inf)
+    wide = home.withColumnRenamed("_slice", "_home").join(reach, "_id", "left")
+    far = F.when((F.size("_missing") == F.col("_fills")) & a.isNotNull(), F.col("_d")).otherwise(inf)
     # slices are ordered by anchor, so the ones in reach are a run of numbers
     span = F.sequence(
         slice_of(F.coalesce(a - far, -inf)), slice_of(F.coalesce(a + far, inf))
     )
     visits = (
-        wide.withColumn("slice", F.explode(F.array_append(span, F.lit(-1))))
-        .where(F.col("slice") != F.col("home"))
-        .join(span_table, "slice")
-        .drop("home", "fills", "d")
+        wide.withColumn("_slice", F.explode(F.array_append(span, F.lit(-1))))
+        .where(F.col("_slice") != F.col("_home"))
+        .join(span_table, "_slice")
+        .drop("_home", "_fills", "_d")
     )
     second = _search(cells, visits, columns, fill, k, visitor_rows)
     best = _top(first.unionByName(second), k)
     values = best.groupBy("_id").agg(
-        *[F.avg(F.when(F.col("fill") == c, F.col("value"))).alias(f"{c}_knn") for c in fill]
+        *[F.avg(F.when(F.col("_fill") == c, F.col("_value"))).alias(f"{c}_knn") for c in fill]
     )
     out = rows.join(values, "_id", "left").withColumns(
         {c: F.coalesce(F.col(c), F.col(f"{c}_knn"), F.lit(means[c])) for c in fill}
@@ -179,24 +176,24 @@ def _slice_udf(edges: list[float]):
 def _search(cells, visitors, columns, fill, k, visitor_rows) -> DataFrame:
     """Top-k donors per visiting row in every cell it visits."""
     placed = visitors.withColumn(
-        "cell", F.explode(F.sequence(F.lit(0), (F.col("salts") - 1).cast("int")))
+        "_cell", F.explode(F.sequence(F.lit(0), (F.col("_salts") - 1).cast("int")))
     )
     # visitors of a cell are split too, so one popular cell is not one task
-    loads = placed.groupBy("slice", "cell").agg(F.count("*").alias("load"))
-    split = (1 + F.floor(F.col("load") / visitor_rows)).cast("int")
-    loads = loads.select("slice", "cell", split.alias("parts"))
-    placed = placed.join(loads, ["slice", "cell"]).withColumn(
-        "part", hashed_bucket(F.col("_id"), F.col("parts"))
+    loads = placed.groupBy("_slice", "_cell").agg(F.count("*").alias("_load"))
+    split = (1 + F.floor(F.col("_load") / visitor_rows)).cast("int")
+    loads = loads.select("_slice", "_cell", split.alias("_parts"))
+    placed = placed.join(loads, ["_slice", "_cell"]).withColumn(
+        "_part", hashed_bucket(F.col("_id"), F.col("_parts"))
     )
-    spread = cells.join(loads, ["slice", "cell"]).withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    spread = cells.join(loads, ["_slice", "_cell"]).withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
     )
-    visitors_cg = placed.select("slice", "cell", "part", "_id", "missing", *columns)
+    visitors_cg = placed.select("_slice", "_cell", "_part", "_id", "_missing", *columns)
     # fresh names on the donor side keep the two sides of the cogroup apart
-    place = ["slice", "cell", "part"]
+    place = ["_slice", "_cell", "_part"]
     donor_names = {c: f"donor_{i}" for i, c in enumerate(columns)}
     donors_cg = spread.select(
-        *[F.col(c).alias(f"donor_{c}") for c in place],
+        *[F.col(c).alias(f"donor{c}") for c in place],
         *[F.col(c).alias(d) for c, d in donor_names.items()],
     )
     cols, fills = list(columns), list(fill)
@@ -207,7 +204,7 @@ def _search(cells, visitors, columns, fill, k, visitor_rows) -> DataFrame:
         if len(left) and len(right):
             x = right[donor_cols].to_numpy(float)
             for c in fills:
-                wants = left[left["missing"].map(lambda m, c=c: c in m)]
+                wants = left[left["_missing"].map(lambda m, c=c: c in m)]
                 held = right[donor_names[c]]
                 has, target = held.notna().to_numpy(), held.to_numpy(float)
                 step = max(1, CHUNK_CELLS // max(len(right), 1))
@@ -218,20 +215,20 @@ def _search(cells, visitors, columns, fill, k, visitor_rows) -> DataFrame:
                     ids = np.repeat(part["_id"].to_numpy(), dist.shape[1])[known.ravel()]
                     out.append(
                         pd.DataFrame(
-                            {"_id": ids, "fill": c, "dist": dist[known], "value": target[pos[known]]}
+                            {"_id": ids, "_fill": c, "_dist": dist[known], "_value": target[pos[known]]}
                         )
                     )
         if out:
             return pd.concat(out, ignore_index=True)
-        return pd.DataFrame({"_id": [], "fill": [], "dist": [], "value": []})
+        return pd.DataFrame({"_id": [], "_fill": [], "_dist": [], "_value": []})
 
     return (
         visitors_cg.groupBy(*place)
-        .cogroup(donors_cg.groupBy(*[f"donor_{c}" for c in place]))
-        .applyInPandas(cell_search, "_id string, fill string, dist double, value double")
+        .cogroup(donors_cg.groupBy(*[f"donor{c}" for c in place]))
+        .applyInPandas(cell_search, "_id string, _fill string, _dist double, _value double")
     )
 
 
 def _top(candidates: DataFrame, k: int) -> DataFrame:
-    w = W.partitionBy("_id", "fill").orderBy("dist", "value")
-    return candidates.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k).drop("r")
+    w = W.partitionBy("_id", "_fill").orderBy("_dist", "_value")
+    return candidates.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")

@@ -113,7 +113,7 @@ class _Problem:
     y_mean: float
 
     def mse(self, beta: np.ndarray) -> float:
-        return float(self.yy - 2.0 * beta @ self.c + beta @ self.g @ beta)
+        return max(float(self.yy - 2.0 * beta @ self.c + beta @ self.g @ beta), 0.0)
 
     def raw(self, beta: np.ndarray) -> tuple[np.ndarray, float]:
         coef = beta / self.scale
@@ -236,11 +236,12 @@ def _gradient(p, ridge, rate, max_iter, stop, schedule, schedule_args):
     beta = np.zeros(len(p.c))
     done = False
     for epoch in range(max_iter):
-        mse = p.mse(beta)
         step = learning_rate_at(rate, epoch, schedule, **schedule_args)
-        beta = beta - step * (p.g @ beta - p.c + ridge * beta / p.n)
-        # the recorded loss pairs the error before the step with the penalty after it
-        loss = mse + ridge * float(beta @ beta) / (2.0 * p.n)
+        with np.errstate(over="ignore", invalid="ignore"):  # too large a step diverges
+            mse = p.mse(beta)
+            beta = beta - step * (p.g @ beta - p.c + ridge * beta / p.n)
+            # the recorded loss pairs the error before the step with the penalty after it
+            loss = mse + ridge * float(beta @ beta) / (2.0 * p.n)
         if not math.isfinite(loss):
             stop.history.append((epoch, loss, None))
             break
