@@ -68,13 +68,13 @@ def box_plot(spark, sf):
 _PROBS = [(i + 0.5) / 20 for i in range(20)]
 
 
-@query(with_listing("SELECT prob, " + q("theoretical", 8) + " AS theoretical, " + q("ordered", 4) + " AS ordered FROM ("
+@query(with_listing("SELECT prob, " + q("theoretical", 8) + " AS theoretical, " + q("ordered", 6) + " AS ordered FROM ("
     + " UNION ALL ".join(
         f"SELECT {p}::DOUBLE AS prob, {NormalDist().inv_cdf(p)!r}::DOUBLE AS theoretical, quantile_cont({TARGET}, {p}) AS ordered FROM listing"
         for p in _PROBS) + ")"))
 def qq_plot(spark, sf):
     out = plotdata.qq_points(staged_listing(spark, sf, [TARGET]), TARGET, 20)
-    return rounded(out, {"theoretical": 8, "ordered": 4})
+    return rounded(out, {"theoretical": 8, "ordered": 6})
 
 
 _TRI = [(a, b) for i, a in enumerate(ALL_NUMERIC) for b in ALL_NUMERIC[:i]]
@@ -135,14 +135,6 @@ def geo_value_grid(spark, sf):
     return grid.select("lat_cell", "lon_cell", "rows", total)
 
 
-@query(with_listing(f"""SELECT {_bin('x', 'xl', 'xh', 40)} AS x_bin, {_bin('y', 'yl', 'yh', 40)} AS y_bin, count(*) AS count,
-  {q('avg(x)', 4)} AS x_mean, {q('avg(y)', 4)} AS y_mean FROM pr, lim GROUP BY 1, 2""", f"""
-pr AS (SELECT median_income AS x, {TARGET} AS y FROM listing), lim AS (SELECT min(x) AS xl, max(x) AS xh, min(y) AS yl, max(y) AS yh FROM pr)"""))
-def income_value_pairs(spark, sf):
-    df = staged_listing(spark, sf, ["median_income", TARGET])
-    return rounded(plotdata.binned_pairs(df, F.col("median_income"), F.col(TARGET)), 4)
-
-
 def _pairs_sql(x, y):
     return with_listing(
         f"""SELECT {_bin('x', 'xl', 'xh', 40)} AS x_bin, {_bin('y', 'yl', 'yh', 40)} AS y_bin, count(*) AS count,
@@ -158,6 +150,14 @@ def _totals(pairs):
     return pairs.select("x_bin", "y_bin", "count", total("x"), total("y"))
 
 
+@query(with_listing(f"""SELECT {_bin('x', 'xl', 'xh', 40)} AS x_bin, {_bin('y', 'yl', 'yh', 40)} AS y_bin, count(*) AS count,
+  {q('sum(x)', 3)} AS x_total, {q('sum(y)', 3)} AS y_total FROM pr, lim GROUP BY 1, 2""", f"""
+pr AS (SELECT median_income AS x, {TARGET} AS y FROM listing), lim AS (SELECT min(x) AS xl, max(x) AS xh, min(y) AS yl, max(y) AS yh FROM pr)"""))
+def income_value_pairs(spark, sf):
+    df = staged_listing(spark, sf, ["median_income", TARGET])
+    return _totals(plotdata.binned_pairs(df, F.col("median_income"), F.col(TARGET)))
+
+
 @query(_pairs_sql("y", "yhat"))
 def predicted_actual_pairs(spark, sf):
     return _totals(plotdata.binned_pairs(out_of_fold(spark, sf), F.col("y"), F.col("yhat")))
