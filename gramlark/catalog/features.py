@@ -439,7 +439,8 @@ parts AS (SELECT "column", n, sum(n) OVER (PARTITION BY "column", bx) AS nx, sum
 @query(_mi_sql())
 def mutual_information(spark, sf):
     df = staged_listing(spark, sf, NUMERIC + [TARGET])
-    return rounded(select.mutual_information(df, NUMERIC), 8)
+    scores = select.mutual_information(df, NUMERIC)
+    return rounded(spark.createDataFrame(list(scores.items()), "column string, mutual_info double"), 8)
 
 
 def _complete(spark, sf):

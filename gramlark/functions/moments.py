@@ -56,6 +56,18 @@ class Gram:
             self.q[np.ix_(idx, idx)],
         )
 
+    def rescale(self, params: dict[str, tuple[float, float]]) -> "Gram":
+        """Statistics of ``(column - center) / scale`` for the columns in ``params``."""
+        pairs = [params.get(c, (0.0, 1.0)) for c in self.names]
+        delta = self.shift - np.array([c for c, _ in pairs])
+        k = np.array([s for _, s in pairs])
+        s = self.s + self.n * delta
+        q = (
+            self.q + np.outer(self.s, delta) + np.outer(delta, self.s)
+            + self.n * np.outer(delta, delta)
+        )
+        return Gram(self.names, self.n, np.zeros(len(k)), s / k, q / np.outer(k, k))
+
     def sse(self, coef: np.ndarray, intercept: float) -> float:
         """Sum of squared errors of ``intercept + coef.x`` on these rows."""
         w = np.append(-np.asarray(coef, float), 1.0)
@@ -160,13 +172,16 @@ def total(grams: dict[int, Gram]) -> Gram:
     return acc
 
 
-def pairwise_pearson(df: DataFrame, columns: list[str]) -> np.ndarray:
+def pairwise_pearson(
+    df: DataFrame, columns: list[str], shift: float | None = None
+) -> np.ndarray:
     """Pearson correlations over the rows where both columns are present.
 
-    A pair with a constant side, or without common rows, is NaN.
+    A pair with a constant side, or without common rows, is NaN.  ``shift`` is
+    a constant near all column means and saves the pass that finds them.
     """
     m = len(columns)
-    center = column_means(df, columns)
+    center = column_means(df, columns) if shift is None else np.full(m, float(shift))
 
     def cells(z):
         present = ~np.isnan(z)
@@ -190,6 +205,33 @@ def pairwise_pearson(df: DataFrame, columns: list[str]) -> np.ndarray:
     return np.clip(r, -1.0, 1.0)
 
 
+def joint_bin_counts(
+    df: DataFrame, columns: list[str], target: str, edges: dict[str, list[float]]
+) -> np.ndarray:
+    """Rows per (column, bin of the column, bin of the target), one pass.
+
+    A value's bin is the number of edges below it; rows without a target and
+    cells without a value are left out.
+    """
+    cuts = [np.array(edges.get(c, []), float) for c in columns]
+    target_cuts = np.array(edges.get(target, []), float)
+    bins = 1 + max(len(c) for c in [*cuts, target_cuts])
+
+    def cells(z):
+        z = z[~np.isnan(z[:, -1])]
+        by = np.searchsorted(target_cuts, z[:, -1], side="left")
+        parts = []
+        for j, cut in enumerate(cuts):
+            known = ~np.isnan(z[:, j])
+            slot = np.searchsorted(cut, z[known, j], side="left") * bins + by[known]
+            parts.append(np.bincount(slot, minlength=bins * bins).astype(float))
+        return np.concatenate(parts)
+
+    shape = (len(columns), bins, bins)
+    sums = _sum_cells(df, None, list(columns) + [target], cells, int(np.prod(shape)))
+    return sums[0].reshape(shape) if sums else np.zeros(shape)
+
+
 def error_sums(
     df: DataFrame,
     features: list[str],

@@ -3,10 +3,11 @@
 Small groups use the built-in exact ``percentile``: its value map is bounded by
 the group's row count, which is known beforehand.  For larger groups the wanted
 order statistics are found by narrowing brackets.  Each pass splits every open
-bracket into equal-width bins and takes count, minimum and maximum per bin, a
-plain aggregate with map-side combining.  The bin holding the wanted rank
+bracket into equal-width bins and takes count, minimum and maximum per bin, an
+aggregate that is combined before the shuffle.  The bin holding the wanted rank
 becomes the next bracket, so the answer is exact and the driver only ever sees
-bin counts.
+bin counts.  Whole columns are binned in Arrow batches; columns split by a group
+key are binned by a join with the table of brackets.
 """
 
 from __future__ import annotations
@@ -15,12 +16,15 @@ import math
 from collections import defaultdict
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gramlark.session import is_staged, stage
 
-SMALL_GROUP_ROWS = 1_000_000
+SMALL_GROUP_ROWS = 100_000
 BINS = 1024
 FINAL_ROWS = 50_000
 BROADCAST_BRACKETS = 100_000
@@ -68,14 +72,7 @@ def exact_quantiles(
     narrow = df.select(*by, *columns)
     long = to_long(narrow, columns, by)
     keys = by + ["column"]
-    finite = F.when(F.abs("v") < F.lit(math.inf), F.col("v"))
-    sizes = long.groupBy(keys).agg(
-        F.count("v").alias("n"),
-        F.count_if(F.col("v") == F.lit(-math.inf)).alias("n_neg"),
-        F.count(finite).alias("n_fin"),
-        F.min(finite).alias("lo"),
-        F.max(finite).alias("hi"),
-    )
+    sizes = _grouped_sizes(long, keys) if by else _column_sizes(narrow, columns)
     big = sizes.where(F.col("n") > small_group_rows).collect()
 
     small = long
@@ -85,21 +82,91 @@ def exact_quantiles(
             [tuple(r[k] for k in keys) for r in big], sizes.select(keys).schema
         )
         small = long.join(_maybe_broadcast(hot, len(big)), keys, "left_anti")
-    result = small.groupBy(keys).agg(F.percentile("v", F.array(*map(F.lit, probs))).alias("q"))
+    if big and not by:
+        left = [c for c in columns if c not in {r["column"] for r in big}]
+        small = to_long(narrow.select(left), left) if left else None
+    schema = _result_schema(long, keys)
+    result = None
+    if small is not None:
+        result = small.groupBy(keys).agg(
+            F.percentile("v", F.array(*map(F.lit, probs))).alias("q")
+        )
     if not big:
         return result
 
     source = df if is_staged(df) else stage(narrow, "quantile-input")
-    again = to_long(source, columns, by)
-    values = _narrow(again, by, big, probs, bins, final_rows)
+    if by:
+        again = to_long(source, columns, by)
+        count_bins = lambda open_, n_bins: _joined_bins(again, by, open_, n_bins)
+    else:
+        count_bins = lambda open_, n_bins: _batch_bins(source, open_, n_bins)
+    values = _narrow(count_bins, by, big, probs, bins, final_rows)
     rows = []
     for r in big:
         g = tuple(r[b] for b in by)
         stats = values[(g, r["column"])]
         q = [_interpolate(stats, p, r["n"]) for p in probs]
         rows.append((*g, r["column"], q))
-    schema = result.schema
-    return result.unionByName(df.sparkSession.createDataFrame(rows, schema))
+    found = df.sparkSession.createDataFrame(rows, schema)
+    return found if result is None else result.unionByName(found)
+
+
+def _result_schema(long: DataFrame, keys: list[str]) -> T.StructType:
+    return long.select(keys).schema.add("q", T.ArrayType(T.DoubleType()))
+
+
+def _grouped_sizes(long: DataFrame, keys: list[str]) -> DataFrame:
+    finite = F.when(F.abs("v") < F.lit(math.inf), F.col("v"))
+    return long.groupBy(keys).agg(
+        F.count("v").alias("n"),
+        F.count_if(F.col("v") == F.lit(-math.inf)).alias("n_neg"),
+        F.count(finite).alias("n_fin"),
+        F.min(finite).alias("lo"),
+        F.max(finite).alias("hi"),
+    )
+
+
+def _doubles(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.select([F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+
+
+def _values(batch: pa.RecordBatch, i: int) -> np.ndarray:
+    v = batch.column(i).to_numpy(zero_copy_only=False).astype(float, copy=False)
+    return v[~np.isnan(v)]
+
+
+def _column_sizes(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Counts and finite range per column; columns without values are left out."""
+    names = list(columns)
+
+    def work(batches):
+        n, neg, fin = (np.zeros(len(names), np.int64) for _ in range(3))
+        lo, hi = np.full(len(names), np.inf), np.full(len(names), -np.inf)
+        for batch in batches:
+            for i in range(len(names)):
+                v = _values(batch, i)
+                f = v[np.isfinite(v)]
+                n[i] += len(v)
+                neg[i] += int((v == -np.inf).sum())
+                fin[i] += len(f)
+                if len(f):
+                    lo[i], hi[i] = min(lo[i], f.min()), max(hi[i], f.max())
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(names), pa.array(n), pa.array(neg), pa.array(fin),
+                pa.array([None if x == np.inf else x for x in lo], pa.float64()),
+                pa.array([None if x == -np.inf else x for x in hi], pa.float64()),
+            ],
+            names=["column", "n", "n_neg", "n_fin", "lo", "hi"],
+        )
+
+    parts = _doubles(df, names).mapInArrow(
+        work, "column string, n bigint, n_neg bigint, n_fin bigint, lo double, hi double"
+    )
+    return parts.groupBy("column").agg(
+        F.sum("n").alias("n"), F.sum("n_neg").alias("n_neg"), F.sum("n_fin").alias("n_fin"),
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+    )
 
 
 def quantile_map(
@@ -127,7 +194,7 @@ def _interpolate(stats: dict[int, float], p: float, n: int) -> float:
     return (hi - h) * stats[lo] + (h - lo) * stats[hi]
 
 
-def _narrow(long, by, sizes, probs, bins, final_rows):
+def _narrow(count_bins, by, sizes, probs, bins, final_rows):
     """``{(group, column): {rank: value}}`` for every rank the probabilities touch."""
     found: dict = defaultdict(dict)
     open_: list[_Bracket] = []
@@ -143,24 +210,11 @@ def _narrow(long, by, sizes, probs, bins, final_rows):
         if inner:
             _place(found, open_, _Bracket(g, c, r["lo"], r["hi"], r["n_neg"], r["n_fin"], inner))
     while open_:
-        if sum(b.inside for b in open_) <= final_rows:
-            rows = _in_brackets(long, by, open_).groupBy("bid", "v").count().collect()
-            per = defaultdict(list)
-            for r in rows:
-                per[r["bid"]].append((r["v"], r["v"], r["count"]))
-        else:
-            n_bins = max(16, min(bins, 4_000_000 // len(open_)))
-            share = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
-            slot = F.least(F.floor(share * n_bins), F.lit(n_bins - 1))
-            rows = (
-                _in_brackets(long, by, open_)
-                .groupBy("bid", slot.alias("slot"))
-                .agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-                .collect()
-            )
-            per = defaultdict(list)
-            for r in rows:
-                per[r["bid"]].append((r["lo"], r["hi"], r["n"]))
+        few = sum(b.inside for b in open_) <= final_rows
+        # few enough rows: every distinct value is its own bin
+        per = defaultdict(list)
+        for r in count_bins(open_, 0 if few else max(16, min(bins, 4_000_000 // len(open_)))):
+            per[r["bid"]].append((r["lo"], r["hi"], r["n"]))
         following: list[_Bracket] = []
         for bid, b in enumerate(open_):
             below, ranks = b.below, list(b.ranks)
@@ -181,6 +235,86 @@ def _place(found, queue, bracket: _Bracket) -> None:
         queue.append(bracket)
 
 
+def _joined_bins(long: DataFrame, by: list[str], brackets: list[_Bracket], n_bins: int):
+    """Count, minimum and maximum per bracket and bin of grouped values."""
+    inside = _in_brackets(long, by, brackets)
+    if n_bins:
+        share = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
+        slot = F.least(F.floor(share * n_bins), F.lit(n_bins - 1))
+    else:
+        slot = F.col("v")
+    return (
+        inside.groupBy("bid", slot.alias("slot"))
+        .agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        .collect()
+    )
+
+
+def _batch_bins(df: DataFrame, brackets: list[_Bracket], n_bins: int):
+    """Count, minimum and maximum per bracket and bin of whole columns."""
+    columns = sorted({b.column for b in brackets})
+    spans = []
+    for c in columns:
+        # brackets of one column never overlap
+        own = sorted((b.lo, b.hi, i) for i, b in enumerate(brackets) if b.column == c)
+        spans.append(tuple(np.array(x) for x in zip(*own)))
+
+    def work(batches):
+        acc = [None] * len(spans)
+        for batch in batches:
+            for j, (lows, highs, _) in enumerate(spans):
+                v = _values(batch, j)
+                at = np.searchsorted(lows, v, side="right") - 1
+                ok = (at >= 0) & (v <= highs[at])
+                v, at = v[ok], at[ok]
+                if not len(v):
+                    continue
+                if not n_bins:
+                    values, counts = np.unique(v, return_counts=True)
+                    if acc[j] is not None:
+                        values, at_ = np.unique(np.append(acc[j][0], values), return_inverse=True)
+                        counts = np.bincount(at_, np.append(acc[j][1], counts)).astype(np.int64)
+                    acc[j] = (values, counts)
+                    continue
+                slot = np.minimum(
+                    np.floor((v - lows[at]) / (highs[at] - lows[at]) * n_bins), n_bins - 1
+                ).astype(np.int64) + at * n_bins
+                if acc[j] is None:
+                    size = len(lows) * n_bins
+                    acc[j] = (np.zeros(size, np.int64), np.full(size, np.inf), np.full(size, -np.inf))
+                n, lo, hi = acc[j]
+                np.add.at(n, slot, 1)
+                np.minimum.at(lo, slot, v)
+                np.maximum.at(hi, slot, v)
+        for j, (lows, _, bids) in enumerate(spans):
+            if acc[j] is None:
+                continue
+            if n_bins:
+                n, lo, hi = acc[j]
+                slot = np.flatnonzero(n)
+                bid, n, lo, hi = bids[slot // n_bins], n[slot], lo[slot], hi[slot]
+            else:
+                lo, n = acc[j]
+                hi, slot = lo, np.zeros(len(lo), np.int64)
+                bid = bids[np.searchsorted(lows, lo, side="right") - 1]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(bid, pa.int32()), pa.array(slot, pa.int64()), pa.array(n, pa.int64()),
+                    pa.array(lo, pa.float64()), pa.array(hi, pa.float64()),
+                ],
+                names=["bid", "slot", "n", "lo", "hi"],
+            )
+
+    parts = _doubles(df, columns).mapInArrow(
+        work, "bid int, slot bigint, n bigint, lo double, hi double"
+    )
+    keys = ["bid", "slot"] if n_bins else ["bid", "lo"]
+    aggs = [F.sum("n").alias("n"), F.max("hi").alias("hi")]
+    if n_bins:
+        aggs.append(F.min("lo").alias("lo"))
+    return parts.groupBy(*keys).agg(*aggs).collect()
+
+
 def _in_brackets(long: DataFrame, by: list[str], brackets: list[_Bracket]) -> DataFrame:
     key_schema = long.select(*by, "column").schema
     schema = key_schema.add("bid", "integer").add("lo", "double").add("hi", "double")

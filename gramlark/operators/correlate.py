@@ -82,7 +82,9 @@ def _spearman(df: DataFrame, columns: list[str]) -> np.ndarray:
 
     def place(subset: DataFrame, names: list[str]):
         where = [at[c] for c in names]
-        out[np.ix_(where, where)] = pairwise_pearson(_ranked(subset, names), names)
+        # average ranks have the mean (n + 1) / 2, whatever the ties
+        middle = (subset.count() + 1) / 2.0
+        out[np.ix_(where, where)] = pairwise_pearson(_ranked(subset, names), names, middle)
 
     # pairs with gaps first: their solid-solid cells are overwritten below
     for a, b in combinations([c for c in columns if c in gaps], 2):

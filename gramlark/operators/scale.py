@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gramlark.functions.quantiles import quantile_map
+from gramlark.functions.quantiles import quantile_map, to_long
 from gramlark.schema import TARGET, numeric_columns
 
 METHODS = ("standard", "robust", "minmax")
@@ -33,12 +33,11 @@ class Scaler:
             self.params = {c: (v[1], (v[2] - v[0]) or 1.0) for c, v in q.items()}
             return self
         a, b = (F.avg, F.stddev_pop) if method == "standard" else (F.min, F.max)
-        row = df.agg(
-            *[f(F.col(c).cast("double")).alias(f"{t}{i}")
-              for i, c in enumerate(columns) for t, f in (("a", a), ("b", b))]
-        ).first()
-        for i, c in enumerate(columns):
-            first, second = row[f"a{i}"], row[f"b{i}"]
+        # one row per column and value: wide aggregates compile to very large methods
+        rows = to_long(df, columns).groupBy("column").agg(a("v").alias("a"), b("v").alias("b"))
+        found = {r["column"]: (r["a"], r["b"]) for r in rows.collect()}
+        for c in columns:
+            first, second = found.get(c, (None, None))
             if first is None:
                 continue
             spread = second if method == "standard" else second - first

@@ -4,11 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
-from pyspark.sql import functions as F
 
-from gramlark.functions.moments import Gram, gram_by
-from gramlark.functions.quantiles import quantile_map, to_long
+from gramlark.functions.moments import Gram, column_means, gram_by, joint_bin_counts
+from gramlark.functions.quantiles import quantile_map
 from gramlark.operators.correlate import target_correlations
 from gramlark.schema import TARGET, numeric_columns
 
@@ -31,52 +29,31 @@ def by_correlation(df: DataFrame, features: list[str], target: str, k: int) -> l
     return [c for c, _ in target_correlations(df, target, features)][:k]
 
 
-def _bin_of(value, edges: list[float]):
-    """Number of edges below the value: its equal-frequency bin."""
-    return sum((F.when(value > F.lit(e), 1).otherwise(0) for e in edges), F.lit(0))
-
-
-def binned_counts(df: DataFrame, features: list[str], target: str, bins: int = MI_BINS) -> DataFrame:
-    """Joint counts ``(column, bx, by, n)`` over equal-frequency bins.
+def mutual_information(
+    df: DataFrame, features: list[str], target: str = TARGET, bins: int = MI_BINS
+) -> dict[str, float]:
+    """Mutual information (nats) of each feature with the target.
 
-    Counting is one aggregate for all features; map-side combining leaves at
-    most bins x bins rows per feature and task.
+    Both sides are cut into equal-frequency bins; the joint counts of all
+    features come from one pass.
     """
     probs = [i / bins for i in range(1, bins)]
     edges = quantile_map(df, features + [target], probs)
-    ybin = _bin_of(F.col(target), edges[target])
-    slots = [
-        F.when(F.col(f).isNotNull(), _bin_of(F.col(f), edges.get(f, []))).alias(f) for f in features
-    ]
-    binned = df.where(F.col(target).isNotNull()).select(ybin.alias("by"), *slots)
-    return (
-        binned.unpivot(["by"], features, "column", "bx")
-        .where("bx IS NOT NULL")
-        .groupBy("column", "bx", "by")
-        .agg(F.count("*").alias("n"))
-    )
-
-
-def mutual_information(
-    df: DataFrame, features: list[str], target: str = TARGET, bins: int = MI_BINS
-) -> DataFrame:
-    """Mutual information (nats) of each feature with the target, from bins."""
-    joint = binned_counts(df, features, target, bins)
-    # the joint table is bounded by features x bins x bins, so windows over it are small
-    over = lambda *keys: F.sum("n").over(W.partitionBy(*keys))
-    marginal = joint.select(
-        "column", "n", over("column", "bx").alias("nx"), over("column", "by").alias("ny"),
-        over("column").alias("total"),
-    )
-    term = (F.col("n") / F.col("total")) * F.log(
-        F.col("n") * F.col("total") / (F.col("nx") * F.col("ny"))
-    )
-    return marginal.groupBy("column").agg(F.sum(term).alias("mutual_info"))
+    out = {}
+    for name, n in zip(features, joint_bin_counts(df, features, target, edges)):
+        total = n.sum()
+        if total == 0:
+            out[name] = 0.0
+            continue
+        expected = np.outer(n.sum(axis=1), n.sum(axis=0))
+        seen = n > 0
+        out[name] = float((n[seen] / total * np.log(n[seen] * total / expected[seen])).sum())
+    return out
 
 
 def by_mutual_information(df, features, target, k, bins: int = MI_BINS) -> list[str]:
-    score = {r["column"]: r["mutual_info"] for r in mutual_information(df, features, target, bins).collect()}
-    return sorted(features, key=lambda f: -score.get(f, 0.0))[:k]
+    score = mutual_information(df, features, target, bins)
+    return sorted(features, key=lambda f: -score[f])[:k]
 
 
 def eliminate(gram: Gram, k: int) -> list[str]:
@@ -100,29 +77,32 @@ def eliminate(gram: Gram, k: int) -> list[str]:
     return left
 
 
-def by_elimination(df: DataFrame, features: list[str], target: str, k: int) -> list[str]:
-    return eliminate(gram_by(df, features, target)[0], k)
-
-
 def select_features(
     df: DataFrame, target: str = TARGET, method: str = "hybrid", k_best: int = 20,
-    features: list[str] | None = None, shift: dict[str, float] | None = None,
+    features: list[str] | None = None,
+    scaling: dict[str, tuple[float, float]] | None = None,
 ) -> list[str]:
     """Names of the selected features (the target is not among them).
 
-    ``shift`` passes on column means the caller already knows.
+    With ``scaling`` (center and scale per column) the choice is the one the
+    scaled table would give, though the table passed in is not scaled:
+    correlation and mutual information do not change under scaling, and the
+    Gram of the scaled columns follows from the unscaled one.
     """
     features = features or numeric_columns(df, exclude=(target,))
+    if method not in METHODS:
+        raise ValueError(f"unknown method: {method}")
     if method == "correlation":
         return by_correlation(df, features, target, k_best)
     if method == "mutual_info":
         return by_mutual_information(df, features, target, k_best)
+    shift = {c: center for c, (center, _) in (scaling or {}).items()}
+    if shift:
+        shift[target] = float(column_means(df, [target])[0])
+    gram = gram_by(df, features, target, shift=shift or None)[0].rescale(scaling or {})
     if method == "rfe":
-        return by_elimination(df, features, target, k_best)
-    if method != "hybrid":
-        raise ValueError(f"unknown method: {method}")
+        return eliminate(gram, k_best)
     # one Gram serves the correlation filter and the elimination
-    gram = gram_by(df, features, target, shift=shift)[0]
     strong = correlation_order(gram)[: max(1, len(features) // 2)]
     informative = by_mutual_information(df, strong, target, max(1, len(strong) // 2))
     return eliminate(gram.select(informative), min(k_best, len(informative)))

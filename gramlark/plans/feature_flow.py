@@ -75,28 +75,19 @@ class FeatureFlow:
         ).fit(data)
         data = self.geo.transform(data)
         self.encoder = Encoder(self.encoding, self.target).fit(data)
-        data = self.encoder.transform(data)
+        # the derived columns are computed once and read by the remaining passes
+        data = stage(self.encoder.transform(data), "flow-encoded")
         self.scaler = Scaler(self.scaling, (self.target,)).fit(data)
-        data = self.scaler.transform(data)
         features = numeric_columns(data, exclude=(self.target,))
         if self.selection and self.target in data.columns:
-            # standard scaling leaves means of zero; only the target's is unknown
-            shift = None
-            if self.scaling == "standard":
-                shift = {self.target: self.geo_target_mean()}
             self.selected = select_features(
-                stage(data, "flow-scaled"), self.target, self.selection, self.k_best, features, shift
+                data, self.target, self.selection, self.k_best, features, self.scaler.params
             )
         else:
             self.selected = features
         self.fitted = True
         return self
 
-    def geo_target_mean(self) -> float:
-        """Mean of the target, from the cluster statistics."""
-        counted = [(m, c) for m, _, c in self.geo.stats.values() if c]
-        return sum(m * c for m, c in counted) / max(sum(c for _, c in counted), 1)
-
     def transform(self, df: DataFrame) -> DataFrame:
         """Selected features, plus the target and key columns the input has."""
         if not self.fitted:
