@@ -9,7 +9,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -17,14 +16,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gramlark.schema import TARGET
+from gramlark.session import stage
 
 COORDINATES = ["latitude", "longitude"]
 
 
-def weighted_points(df: DataFrame, columns: list[str] = COORDINATES) -> DataFrame:
+def weighted_points(
+    df: DataFrame, columns: list[str] = COORDINATES, restage: bool = False
+) -> DataFrame:
     """Distinct complete points with their row counts, assembled for ``ml``."""
     complete = df.select(*columns).na.drop()
     counts = complete.groupBy(*columns).agg(F.count("*").cast("double").alias("weight"))
+    if restage:
+        counts = stage(counts, "points")
     return VectorAssembler(inputCols=columns, outputCol="x").transform(counts)
 
 
@@ -51,18 +55,16 @@ class GeoClusters:
     cost: float = float("inf")
 
     def fit(self, df: DataFrame) -> "GeoClusters":
-        points = weighted_points(df, self.columns).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            best: KMeansModel | None = None
-            for i in range(max(1, self.n_init)):
-                model = KMeans(
-                    k=self.k, seed=self.seed + i, featuresCol="x", weightCol="weight"
-                ).fit(points)
-                if model.summary.trainingCost < self.cost:
-                    best, self.cost = model, model.summary.trainingCost
-            self.centers = np.array(best.clusterCenters())
-        finally:
-            points.unpersist()
+        # staged, not cached: each fit caches its own instances in the form it iterates over
+        points = weighted_points(df, self.columns, restage=True)
+        best: KMeansModel | None = None
+        for i in range(max(1, self.n_init)):
+            model = KMeans(
+                k=self.k, seed=self.seed + i, featuresCol="x", weightCol="weight"
+            ).fit(points)
+            if best is None or model.summary.trainingCost < self.cost:
+                best, self.cost = model, model.summary.trainingCost
+        self.centers = np.array(best.clusterCenters())
         if self.target in df.columns:
             self.stats = {
                 r["geo_cluster"]: (r["mean"], r["std"], r["count"])
