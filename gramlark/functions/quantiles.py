@@ -189,9 +189,13 @@ def _ranks(p: float, n: int) -> tuple[int, int]:
 def _interpolate(stats: dict[int, float], p: float, n: int) -> float:
     h = (n - 1) * p
     lo, hi = _ranks(p, n)
-    if lo == hi:
-        return stats[lo]
-    return (hi - h) * stats[lo] + (h - lo) * stats[hi]
+    a, b = stats[lo], stats[hi]
+    # equal neighbours must give exactly their value: it is compared with data later
+    if a == b:
+        return a
+    if math.isinf(a) or math.isinf(b):
+        return a if math.isinf(a) else b
+    return a + (b - a) * (h - lo)
 
 
 def _narrow(count_bins, by, sizes, probs, bins, final_rows):

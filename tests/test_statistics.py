@@ -60,6 +60,13 @@ def test_quantiles_skip_missing_and_keep_infinities(spark, small):
     assert got == [float("-inf"), 1.0, 2.0, float("inf")]
 
 
+def test_equal_neighbours_give_exactly_their_value(spark):
+    df = spark.range(5000).select(F.when(F.col("id") % 3 == 0, 7.3).otherwise(0.1).alias("x"))
+    probs = [i / 17 for i in range(18)]
+    got = quantile_map(df, ["x"], probs, small_group_rows=10)["x"]
+    assert set(got) == {0.1, 7.3}
+
+
 def test_quantiles_of_an_empty_column(spark):
     df = spark.createDataFrame([(None, 1.0)], "x double, y double")
     assert quantile_map(df, ["x", "y"], [0.5]) == {"y": [1.0]}
