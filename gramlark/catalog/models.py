@@ -546,6 +546,23 @@ def compare_conventions(spark, sf):
     return rounded(search.compare_implementations(one, two), 4)
 
 
+@query()
+def compare_with_spark_ml(spark, sf):
+    """The four models through the Gram solvers and through the built-in library."""
+    df = complete(spark, sf)
+    gram = gram_by(df, NUMERIC, TARGET)[0]
+    rows = []
+    for model in MODELS:
+        ours = fit_linear(gram, model, 0.5, convention="raw", tol=1e-9, relative_tol=True)
+        theirs = fit_mllib(df, NUMERIC, TARGET, model, 0.5)
+        a, b = ours.score(gram), theirs.score(gram)
+        rows.append((model, a["r2"], b["r2"], a["r2"] - b["r2"], a["rmse"], b["rmse"]))
+    frame = spark.createDataFrame(
+        rows, "model string, gram_r2 double, ml_r2 double, r2_gap double, gram_rmse double, ml_rmse double"
+    )
+    return rounded(frame, {"gram_r2": 6, "ml_r2": 6, "r2_gap": 6, "gram_rmse": 2, "ml_rmse": 2})
+
+
 # -- registry ---------------------------------------------------------------
 
 _EPOCH = datetime(2024, 1, 1)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gramlark.catalog.base import long_cte, q, query, rounded, staged_listing
-from gramlark.functions.expressions import flag
 from gramlark.operators import profile
 from gramlark.operators.correlate import correlation_rows, target_correlations
 from gramlark.operators.derive import ratio_features

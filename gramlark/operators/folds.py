@@ -19,6 +19,15 @@ def _seeded(key: str, seed: int | None):
     return F.col(key) if seed is None else F.concat_ws("-", F.lit(str(seed)), F.col(key))
 
 
+def content_key(df: DataFrame, columns: list[str] | None = None, name: str = "row_key") -> DataFrame:
+    """Add a row key made from the row's content, for tables without one.
+
+    Equal rows share a key, and so a fold.
+    """
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns or df.columns]
+    return df.withColumn(name, F.md5(F.concat_ws("\x1f", *parts)))
+
+
 def assign_folds(df: DataFrame, key: str, k: int = 5, seed: int | None = 42) -> DataFrame:
     """Hash folds 0..k-1: sizes agree up to chance, at no shuffle at all."""
     return df.withColumn("fold", hash_bucket(_seeded(key, seed), k))

@@ -1,7 +1,6 @@
 """Feature operators, folds, metrics and tables on small fixtures."""
 
 import math
-import warnings
 from datetime import datetime
 
 import numpy as np
@@ -296,6 +295,11 @@ def test_folds_are_stable_and_balanced(spark):
         folds.side(a, 0, "test")
 
 
+def test_content_key_separates_nulls_and_text(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a", None), ("a", "")], "x string, y string")
+    assert folds.content_key(df).select("row_key").distinct().count() == 3
+
+
 def test_fold_summary_with_a_one_row_fold(spark):
     rows = [(0, 1.0), (0, 2.0), (0, 6.0), (1, 5.0)]
     df = spark.createDataFrame(rows, "fold int, median_house_value double")
