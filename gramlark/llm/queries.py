@@ -7,7 +7,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramlark.llm import packing, quality, simhash, toxicity
+from gramlark.llm import packing, pii, quality, simhash, toxicity
 from gramlark.llm.common import table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -26,10 +26,23 @@ def op1_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", toxicity.predict(docs, chain).alias("out")).select("doc_id", "out.*")
 
 
+def _listed(spans: str):
+    """kind:start:end of every span, comma-joined."""
+    each = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    return F.array_join(F.transform(spans, each), ",")
+
+
+def op2_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    digest = F.sha2(_listed("base"), 256).alias("base_sha256")
+    return found.select("doc_id", *[count(k) for k in pii.KINDS], digest, _listed("spans").alias("spans"))
+
+
 def op8_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, distance=2)
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return groups.select("doc_id", hexed, "component_id")
+    return groups.select(F.col("key").alias("doc_id"), hexed, "component_id")
 
 
 def op9_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +62,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity_chain,
+        op2_pii_bootstrap,
         op8_simhash_pigeonhole,
         op9_best_two_fit,
         op10_quality_boosting,

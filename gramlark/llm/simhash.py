@@ -15,7 +15,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gramlark.llm.common import column_map, components
@@ -215,21 +215,36 @@ def _stars(fps: DataFrame, distance: int) -> DataFrame:
     return visit.join(star, "code").where("a <> b").select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 2) -> DataFrame:
-    """``(doc_id, fp, component_id)`` for every row of ``docs``.
+def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 2, key: str | Column = "doc_id") -> DataFrame:
+    """``(key, fp, component_id)`` for every row of ``docs``.
 
-    ``component_id`` is the smallest ``doc_id`` reachable by links.  A null text
-    is an empty one (fingerprint 0); rows with a null ``doc_id`` take part and
-    get their component's smallest id, null if it has none.  Copies share a
-    fingerprint and are one node of the search.
+    ``component_id`` is the smallest key reachable by links.  A null text is an
+    empty one (fingerprint 0); rows with a null key take part and get their
+    component's smallest key, null if it has none.  Copies share a fingerprint
+    and are one node of the search.
     """
-    marked = docs.select("doc_id", with_fingerprint(docs, width).alias("out"))
-    marked = stage(marked.select("doc_id", F.col("out.fp").alias("fp")), "fingerprints")
-    fps = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
+    key = F.col(key) if isinstance(key, str) else key
+    marked = docs.select(key.alias("key"), with_fingerprint(docs, width).alias("out"))
+    marked = stage(marked.select("key", F.col("out.fp").alias("fp")), "fingerprints")
+    fps = stage(marked.groupBy("fp").agg(F.min("key").alias("low")), "distinct")
     groups = components(near_links(fps.select("fp"), distance))
     classes = fps.join(groups, fps.fp == groups.node, "left").select(
         "fp", "low", F.coalesce("component", "fp").alias("class")
     )
     lows = classes.groupBy("class").agg(F.min("low").alias("component_id"))
     named = stage(classes.join(lows, "class").select("fp", "component_id"), "classes")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    return marked.join(named, "fp").select("key", "fp", "component_id")
+
+
+def first_of_groups(docs: DataFrame, width: int = 3, distance: int = 2) -> DataFrame:
+    """The row with the smallest ``doc_id`` of every group, with all its columns.
+
+    Repeated ids and nulls (last) are told apart by the row's place in the scan,
+    so exactly one row of a group stays.  ``docs`` must be a scan of files: it is
+    read twice and its rows are named by place.
+    """
+    placed = docs.withColumn("__row", F.monotonically_increasing_id())
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")
+    groups = near_duplicates(placed, width, distance, key)
+    later = groups.where("key.__row <> component_id.__row").select("key.__row")
+    return placed.join(later, "__row", "left_anti").select(docs.columns)
