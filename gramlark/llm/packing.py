@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -17,46 +18,62 @@ from pyspark.sql import functions as F
 from gramlark.session import stage
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-CACHED_WORDS = 300_000
-
-
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
+CACHED_WORDS = 800_000
+CACHED_LENGTH = 48
+CHUNK_CHARS = 2_000_000
+BLANK = re.compile(r"[ \t\r\n]+")
 
 
 class WordIds:
     """Ids of whole texts, as little-endian 32-bit bytes, through a cache of words.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its words one after the other.  Words new to a batch are
-    encoded together; the cache starts anew when it is full.
+    are those of its words one after the other.  Words new to a chunk of texts
+    are encoded together.  The cache lives as long as the Python worker and
+    holds the first words it meets, which are the frequent ones; when most words
+    of a chunk are missing from a full cache it starts anew.
     """
 
-    BLANK = re.compile(r"[ \t\r\n]+")
-
     def __init__(self, path: str):
-        self.tokenizer = _tokenizer(path)
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out, known = [], self.known
-        for text in texts:
-            words = self.BLANK.split(text)
-            new = list({w for w in words if w not in known})
-            if new:
-                if len(known) + len(new) > CACHED_WORDS:
-                    known.clear()
-                    known[""] = b""
-                    new = list(set(words) - {""})
-                for i in range(0, len(new), 50_000):
-                    part = new[i : i + 50_000]
-                    for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                        known[w] = np.asarray(e.ids, "<u4").tobytes()
-            out.append(b"".join(map(known.__getitem__, words)))
-        return out
+        lists = [BLANK.split(t) for t in texts]
+        words = set().union(*lists)
+        new = list(words.difference(self.known))
+        if len(self.known) >= CACHED_WORDS and 2 * len(new) > len(words):
+            self.known = {"": b""}
+            new = list(words - {""})
+        extra = {}
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
+            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                extra[w] = array("I", e.ids).tobytes()
+        if len(self.known) < CACHED_WORDS:
+            self.known.update((w, i) for w, i in extra.items() if len(w) <= CACHED_LENGTH)
+        known, other = self.known, extra
+        return [b"".join([known[w] if w in known else other[w] for w in x]) for x in lists]
+
+
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    return WordIds(path)
+
+
+def chunks(texts: list[str]) -> Iterator[list[str]]:
+    """Runs of texts of about ``CHUNK_CHARS`` characters in all."""
+    part, size = [], 0
+    for t in texts:
+        part.append(t)
+        size += len(t)
+        if size >= CHUNK_CHARS:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
 
 
 def tokenised_pieces(
@@ -71,11 +88,12 @@ def tokenised_pieces(
     schema = PIECES + (", ids array<int>" if with_ids else "")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordIds(tokenizer)
+        words = word_ids(tokenizer)
         for pdf in batches:
             rows = []
-            for doc_id, text in zip(pdf.doc_id, pdf.text):
-                ids = words.encode([text or ""])[0] + end
+            encoded = (ids for part in chunks([t or "" for t in pdf.text]) for ids in words.encode(part))
+            for doc_id, ids in zip(pdf.doc_id, encoded):
+                ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     row = (doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part))
