@@ -28,34 +28,74 @@ class WordIds:
     """Ids of whole texts, as little-endian 32-bit bytes, through a cache of words.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its words one after the other.  Words new to a chunk of texts
-    are encoded together.  The cache lives as long as the Python worker and
-    holds the first words it meets, which are the frequent ones; when most words
-    of a chunk are missing from a full cache it starts anew.
+    are those of its words one after the other.  It lower-cases and parts letters
+    from signs, so a plain word's ids are those of its lower-cased letters, then
+    those of the signs at its end.  What is new to a chunk of texts is encoded
+    together.  The cache lives as long as the Python worker and holds the first
+    words it meets, which are the frequent ones; when most words of a chunk are
+    missing from a full cache it starts anew.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that end a word
+        for token, i in self.tokenizer.get_vocab().items():
+            self.last[i] = token.endswith("</w>")
         self.known: dict[str, bytes] = {"": b""}
 
+    def _each(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Words of letters only, encoded as one text and parted where words end."""
+        text = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
+        ids = np.asarray(text.ids, "<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(words):
+            return self._each(words)
+        raw, at = ids.tobytes(), (4 * np.r_[0, ends]).tolist()
+        return [raw[i:j] for i, j in zip(at, at[1:])]
+
+    def _new(self, words: list[str]) -> dict[str, bytes]:
+        known, plain, other, parts = self.known, set(), set(), []
+        for w in words:
+            core = w.rstrip(".,;:!?#$%&*")
+            if core.isalpha() and max(core) < "\u0130":
+                tail = w[len(core) :]
+                core = core.lower()
+                parts.append((w, core, tail))
+                plain.add(core)
+                other.add(tail)
+            else:
+                other.add(w)
+        ids = {}
+        for pool, encode in ((plain, self._letters), (other, self._each)):
+            missing = [w for w in pool if w not in known]
+            for at in range(0, len(missing), 2_000):
+                part = missing[at : at + 2_000]
+                ids.update(zip(part, encode(part)))
+        for w, core, tail in parts:
+            a, b = known.get(core), known.get(tail)
+            ids[w] = (ids[core] if a is None else a) + (ids[tail] if b is None else b)
+        return ids
+
     def encode(self, texts: list[str]) -> list[bytes]:
         lists = [BLANK.split(t) for t in texts]
         words = set().union(*lists)
-        new = list(words.difference(self.known))
+        new = words.difference(self.known)
         if len(self.known) >= CACHED_WORDS and 2 * len(new) > len(words):
             self.known = {"": b""}
-            new = list(words - {""})
-        extra = {}
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                extra[w] = array("I", e.ids).tobytes()
+            new = words - {""}
+        extra = self._new(list(new))
         if len(self.known) < CACHED_WORDS:
             self.known.update((w, i) for w, i in extra.items() if len(w) <= CACHED_LENGTH)
-        known, other = self.known, extra
-        return [b"".join([known[w] if w in known else other[w] for w in x]) for x in lists]
+        known = self.known
+        if not extra:
+            return [b"".join(map(known.__getitem__, x)) for x in lists]
+        return [b"".join([known[w] if w in known else extra[w] for w in x]) for x in lists]
 
 
 @lru_cache(maxsize=2)
