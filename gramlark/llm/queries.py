@@ -7,7 +7,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramlark.llm import packing, pii, quality, simhash, toxicity
+from gramlark.llm import neighbours, packing, pii, quality, simhash, toxicity, vector_dedup
 from gramlark.llm.common import table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -39,6 +39,14 @@ def op2_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in pii.KINDS], digest, _listed("spans").alias("spans"))
 
 
+def op4_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op5_product_quantised_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, distance=2)
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
@@ -63,6 +71,8 @@ QUERIES = {
     for f in (
         op1_toxicity_chain,
         op2_pii_bootstrap,
+        op4_learned_partitions,
+        op5_product_quantised_dedup,
         op8_simhash_pigeonhole,
         op9_best_two_fit,
         op10_quality_boosting,
