@@ -7,7 +7,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramlark.llm import neighbours, packing, pii, quality, simhash, toxicity, vector_dedup
+from gramlark.llm import html_text, neighbours, packing, pii, quality, simhash, toxicity, vector_dedup
 from gramlark.llm.common import table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -47,6 +47,12 @@ def op5_product_quantised_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op6_html_recurrent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    text = html_text.main_text(pages, html_text.train(pages)).alias("out")
+    return pages.select("page_id", "url", text).select("page_id", "url", "out.text", "out.n_chars")
+
+
 def op8_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, distance=2)
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
@@ -73,6 +79,7 @@ QUERIES = {
         op2_pii_bootstrap,
         op4_learned_partitions,
         op5_product_quantised_dedup,
+        op6_html_recurrent,
         op8_simhash_pigeonhole,
         op9_best_two_fit,
         op10_quality_boosting,
