@@ -176,7 +176,8 @@ def features(page: list[tuple]) -> np.ndarray:
         h = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), "i8", len(words))
         sign = ((h >> 16) & 1) * 2.0 - 1
         out[k, :PATH] = _path_vector(path)
-        out[k, PATH : PATH + WORDS] = np.bincount(h % WORDS, sign, WORDS) / len(words) ** 0.5
+        bag = np.bincount(h % WORDS, sign, WORDS)
+        out[k, PATH : PATH + WORDS] = bag / max(1.0, np.linalg.norm(bag))
         out[k, PATH + WORDS :] = (
             np.log1p(len(text)) / 5,
             np.log1p(len(words)) / 3,
@@ -340,6 +341,8 @@ def composed_page(texts: list[str], rng: np.random.Generator) -> tuple[list[tupl
         words = pick(texts).split()
         n = int(rng.integers(1, 6)) if short else int(rng.integers(1, max(2, min(len(words), 200))))
         at = int(rng.integers(max(1, len(words) - n + 1)))
+        if rng.random() < 0.1:
+            return " ".join([words[at]] * int(rng.integers(2, 200)))
         return " ".join(words[at : at + n]) or "text"
 
     def add(path: list[tuple], mark: int, short: bool, linked: float):

@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramlark.llm import html_text, neighbours, packing, pii, quality, simhash, toxicity, vector_dedup
+from gramlark.llm import html_text, licences, neighbours, packing, pieces, pii, quality, simhash, toxicity, vector_dedup
 from gramlark.llm.common import table
 
-TOKENIZERS = "/opt/tokenizers"
-
 
 def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer's file on every machine."""
@@ -39,6 +35,10 @@ def op2_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in pii.KINDS], digest, _listed("spans").alias("spans"))
 
 
+def op3_licence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -53,6 +53,12 @@ def op6_html_recurrent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", text).select("page_id", "url", "out.text", "out.n_chars")
 
 
+def op7_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = pieces.digests(docs, tokenizer_path("piece_bpe_32k.model")).alias("out")
+    return docs.select("doc_id", out).select("doc_id", "out.*")
+
+
 def op8_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, distance=2)
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
@@ -77,9 +83,11 @@ QUERIES = {
     for f in (
         op1_toxicity_chain,
         op2_pii_bootstrap,
+        op3_licence_paragraphs,
         op4_learned_partitions,
         op5_product_quantised_dedup,
         op6_html_recurrent,
+        op7_sentencepiece_viterbi,
         op8_simhash_pigeonhole,
         op9_best_two_fit,
         op10_quality_boosting,
