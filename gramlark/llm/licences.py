@@ -8,12 +8,15 @@ the executors.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import or_
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gramlark.session import stage
+
 
 # Well-known short notices and opening paragraphs by family.
 TEMPLATES = {
@@ -84,10 +87,23 @@ OTHER = [
     "Use of this service is subject to our terms; see the license agreement of your vendor.",
 ]
 # A paragraph without any of these has no feature at all.
-GATE = (
-    "licen[sc]e|copyright|permission|permitted|redistribut|sublicense|gnu |gpl|apache|mozilla|mpl-|creative commons"
-    "|cc by|bsd|mit |spdx|free software"
-)
+GATE = [
+    "licens",
+    "licenc",
+    "copyright",
+    "permission",
+    "permitted",
+    "redistribut",
+    "gnu ",
+    "gpl",
+    "apache",
+    "mozilla",
+    "mpl-",
+    "creative commons",
+    "cc by",
+    "spdx",
+    "free software",
+]
 WORD = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 FAMILIES = [*TEMPLATES, UNKNOWN]
 
@@ -168,6 +184,12 @@ def model_tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     return first, spark.createDataFrame(rows, "gram string, template string, family string, size int")
 
 
+def _gated(text: Column) -> Column:
+    """Whether a lower-cased text holds a gate word; the text is worked out once for all of them."""
+    hit = lambda t: reduce(or_, [t.contains(w) for w in GATE])
+    return F.coalesce(F.exists(F.array(text), hit), F.lit(False))
+
+
 def scan(docs: DataFrame, least: float = 0.5, overlap: float = 0.6, column: str = "text") -> DataFrame:
     """``(doc_id, paragraph, family, probability, template, similarity, confirmed)``.
 
@@ -175,21 +197,23 @@ def scan(docs: DataFrame, least: float = 0.5, overlap: float = 0.6, column: str
     and has at least probability ``least``.  ``similarity`` is the share of the
     family's closest template whose n-grams the paragraph holds; ``confirmed``
     if it is at least ``overlap``.  Null and empty texts have no paragraphs;
-    repeated rows are reported each.  Only paragraphs with a gate word are taken
-    apart, since no other has a feature.
+    repeated rows are reported each.  Only documents and then paragraphs with a gate
+    word are taken apart, since no other has a feature; their n-grams are written
+    once and joined twice.
     """
     spark = docs.sparkSession
     weights, templates = model_tables(spark)
     bias = trained()[1]
+    docs = docs.where(_gated(F.lower(column)))
     lines = docs.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", F.posexplode(F.split(column, "\n")).alias("paragraph", "line")
     )
-    lines = lines.select("row", "doc_id", "paragraph", F.lower("line").alias("line")).where(F.col("line").rlike(GATE))
+    lines = lines.select("row", "doc_id", "paragraph", F.lower("line").alias("line")).where(_gated(F.col("line")))
     words = F.regexp_extract_all("line", F.lit(WORD), F.lit(0))
     pairs = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda k: F.concat_ws(" ", F.element_at("w", k), F.element_at("w", k + 1)))
     grams = lines.select("row", "doc_id", "paragraph", words.alias("w"))
     grams = grams.select("row", "doc_id", "paragraph", F.array_distinct(F.concat("w", F.when(F.size("w") > 1, pairs).otherwise(F.array().cast("array<string>")))).alias("g"))
-    grams = grams.select("row", "doc_id", "paragraph", F.explode("g").alias("gram"))
+    grams = stage(grams.select("row", "doc_id", "paragraph", F.explode("g").alias("gram")), "grams")
     keys = ["row", "doc_id", "paragraph"]
     sums = [F.sum(F.col("weights")[k]).alias(f"s{k}") for k in range(len(FAMILIES))]
     scored = grams.join(F.broadcast(weights), "gram").groupBy(*keys).agg(*sums)
