@@ -139,16 +139,15 @@ def search(
     is_query,
     k: int = 20,
     sample_rows: int = 4_096,
-    rows_per_part: int = 2_000,
-    max_parts: int = 64,
+    parts: int = 16,
     recall: float = 0.97,
-    block: int = 8_192,
+    block: int = 65_536,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the k nearest found of each row where ``is_query``.
 
     The router is trained on at most ``sample_rows`` rows; every row is filed and
     can be found.  Rows of a part meet its visitors in blocks of about ``block``
-    by ``block / 2`` rows, so a crowded part only makes more blocks.  Rows that
+    rows a side, each returning at most k rows a query; more rows make more blocks.  Rows that
     share a query's ``vec_id`` are its own and no candidates.  Unusable vectors
     take no part.
     """
@@ -159,9 +158,8 @@ def search(
     result = "query_id long, vec_id long, score double"
     if len(x) < 2:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    total = rows.count()
-    router = train(x, min(max_parts, max(2, math.ceil(total / rows_per_part))), k, recall)
-    model = spark.sparkContext.broadcast(router)  # bounded by max_parts and the vectors' width
+    router = train(x, parts, k, recall)
+    model = spark.sparkContext.broadcast(router)  # bounded by `parts` and the vectors' width
 
     @F.pandas_udf("array<int>")
     def parts_of(e: pd.Series, q: pd.Series) -> pd.Series:
@@ -174,7 +172,7 @@ def search(
     )
     n_rows, n_asks = [1] * router.parts, [1] * router.parts
     for r in sizes.collect():
-        n_rows[r.part], n_asks[r.part] = math.ceil((r.rows or 1) / block) or 1, math.ceil((r.asks or 1) / (block // 2)) or 1
+        n_rows[r.part], n_asks[r.part] = math.ceil((r.rows or 1) / block) or 1, math.ceil((r.asks or 1) / block) or 1
     own = filed.select("vec_id", "e", F.col("parts")[0].alias("part"))
     own = own.withColumn("slot", F.pmod(F.xxhash64("vec_id"), by_number(n_rows, "part")).cast("int"))
     own = own.withColumn("turn", F.explode(F.sequence(F.lit(0), by_number(n_asks, "part") - 1)))
@@ -187,8 +185,8 @@ def search(
         if len(a) and len(b):
             ids, y, ask = b.vec_id.to_numpy(), matrix(b.e), a.vec_id.to_numpy()
             xs = matrix(a.e)
-            for at in range(0, len(xs), 256):
-                scores = xs[at : at + 256] @ y.T
+            for at in range(0, len(xs), 64):
+                scores = xs[at : at + 64] @ y.T
                 for i, s in enumerate(scores, at):
                     s[ids == ask[i]] = -np.inf
                     cut = np.partition(s, len(s) - k)[len(s) - k] if len(s) > k else -np.inf
