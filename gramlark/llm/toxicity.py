@@ -84,7 +84,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int, labelled: list[
         def each(texts: pd.Series) -> pd.DataFrame:
             words = [word_hashes(t) for t in texts]
             out = {
-                "words": [np.fromiter(w, "i8", len(w)) for w in words],
+                "words": [np.fromiter(w, "<u4", len(w)).tobytes() for w in words],
                 "sketch": [_sketch(t or "") for t in texts],
             }
             for name, listed in weak.items():
@@ -94,7 +94,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int, labelled: list[
 
         return each
 
-    schema = "words array<long>, sketch array<long>" + "".join(f", {c} int" for c in weak)
+    schema = "words binary, sketch array<long>" + "".join(f", {c} int" for c in weak)
     got = chosen.select("doc_id", *labelled, column_map(chosen, "text", schema, make).alias("out"))
     return got.select("doc_id", *labelled, "out.*").toPandas().sort_values("doc_id", kind="stable")
 
@@ -114,7 +114,7 @@ def _select(words: list[np.ndarray], y: np.ndarray, most: int, least: int) -> li
     n1, n0 = y.sum(), (1 - y).sum()
     if not n1 or not n0:
         return []
-    every = np.concatenate(words) if words else np.zeros(0, "i8")
+    every = np.concatenate(words) if words else np.zeros(0, "u4")
     mark = np.repeat(y, [len(w) for w in words])
     hashes, inverse = np.unique(every, return_inverse=True)
     a = np.bincount(inverse, mark, len(hashes))
@@ -173,7 +173,7 @@ def fit(
     pdf = _first_of_copies(training_rows(docs, labels, max_rows, labelled, weak))
     for c in weak:
         pdf[c] = pdf[c] * pdf[target]
-    words, chosen = list(pdf.words), []
+    words, chosen = [np.frombuffer(w, "<u4") for w in pdf.words], []
     for c in order:
         chosen += _select(words, pdf[c].to_numpy("float64"), features, least_documents)
     index = {h: k for k, h in enumerate(dict.fromkeys(chosen))}
