@@ -106,7 +106,7 @@ def _first_of_copies(pdf: pd.DataFrame) -> pd.DataFrame:
         own = set(enumerate(s))
         keep.append(not (own & seen))
         seen |= own
-    return pdf[keep].reset_index(drop=True)
+    return pdf[np.array(keep, bool)].reset_index(drop=True)
 
 
 def _select(words: list[np.ndarray], y: np.ndarray, most: int, least: int) -> list[int]:
