@@ -378,7 +378,7 @@ def nearest_centroid(spark, sf):
 
     df = staged_listing(spark, sf, ["row_key", "latitude", "longitude", TARGET, CATEGORY])
     rows = df.groupBy(CATEGORY).agg(F.avg("latitude").alias("y"), F.avg("longitude").alias("x"))
-    centers = np.array([[r["y"], r["x"]] for r in rows.orderBy(CATEGORY).limit(100).collect()])
+    centers = np.array([[r["y"], r["x"]] for r in rows.orderBy(CATEGORY).collect()])
     geo = cluster.GeoClusters(centers=centers)
     assigned = geo.assign(df)
     stats = cluster.cluster_stats(assigned)

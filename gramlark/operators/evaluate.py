@@ -35,7 +35,8 @@ def _basic(y: Column, e: Column) -> dict[str, Column]:
 def _advanced(y: Column, e: Column) -> dict[str, Column]:
     share = F.abs(F.try_divide(e, y))
     within = {
-        f"within_{p}pct": F.avg(F.when(share <= p / 100.0, 1.0).otherwise(0.0)) * 100 for p in WITHIN
+        f"within_{p}pct": F.avg(F.when(e.isNotNull(), F.when(share <= p / 100.0, 1.0).otherwise(0.0))) * 100
+        for p in WITHIN
     }
     return {
         "max_error": F.max(F.abs(e)),
@@ -48,9 +49,16 @@ def _advanced(y: Column, e: Column) -> dict[str, Column]:
 
 
 def _errors(df: DataFrame, truth: Column, prediction: Column, by: list[str]) -> DataFrame:
-    return df.select(
-        *by, truth.cast("double").alias("_y"), (truth - prediction).cast("double").alias("_e")
-    )
+    """Truth and error of each row; both are NULL where either side is, so no metric counts the row."""
+    error = (truth - prediction).cast("double")
+    return df.select(*by, F.when(error.isNotNull(), truth.cast("double")).alias("_y"), error.alias("_e"))
+
+
+def row_counts(df: DataFrame, truth: Column, prediction: Column, by: list[str] = ()) -> DataFrame:
+    """``n`` rows with both sides, which the metrics are about, and ``n_unpredicted`` others."""
+    both = truth.isNotNull() & prediction.isNotNull()
+    counts = [F.count_if(both).alias("n"), F.count_if(~both).alias("n_unpredicted")]
+    return df.groupBy(*by).agg(*counts)
 
 
 def basic_metrics(df: DataFrame, truth: Column, prediction: Column, by: list[str] = ()) -> DataFrame:

@@ -66,13 +66,15 @@ class IsolationScorer:
         sample: int = SAMPLE,
         seed: int = SEED,
     ) -> "IsolationScorer":
-        values = df.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
+        # rows are drawn by a hash of their content, so any layout gives the same sample
+        draw = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.lit(seed)).bitwiseAND(2**53 - 1) / 2.0**53
+        values = df.select(F.col(column).cast("double").alias("v"), draw.alias("h")).where("v IS NOT NULL")
         # thin the table to a few times the wanted rows before anything is gathered
         wanted = trees * sample
         rows = values.count()
         keep = min(1.0, 3.0 * wanted / max(rows, 1))
-        thin = values.withColumn("h", F.rand(seed)).where(F.col("h") < F.lit(keep))
-        picked = thin.orderBy("h").limit(wanted).collect()
+        thin = values.where(F.col("h") <= F.lit(keep))
+        picked = thin.orderBy("h", "v").limit(wanted).collect()
         data = np.array([r["v"] for r in picked])
         if len(data) == 0:
             return cls(column, np.array([]), np.array([0.5]), math.inf)
@@ -80,12 +82,8 @@ class IsolationScorer:
         size = min(sample, len(data))
         limit = int(math.ceil(math.log2(max(size, 2))))
         grown = []
-        for t in range(trees):
-            if len(data) == wanted:
-                rows = data[t * sample : (t + 1) * sample]
-            else:
-                rows = rng.choice(data, size, replace=False)
-            grown.append(_tree_steps(rows, rng, limit))
+        for _ in range(trees):
+            grown.append(_tree_steps(rng.choice(data, size, replace=False), rng, limit))
         steps = np.unique(np.concatenate([c for c, _ in grown]))
         probe = np.append(steps, np.inf)
         depth = sum(lengths[np.searchsorted(cuts, probe, side="left")] for cuts, lengths in grown)

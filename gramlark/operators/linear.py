@@ -15,6 +15,7 @@ expression.  Iterations start from zero, which makes every fit repeatable.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -72,32 +73,47 @@ class LinearModel:
         )
 
 
+@dataclass(frozen=True)
 class EarlyStop:
-    """Stop after ``patience`` epochs without an improvement of ``min_delta``."""
+    """Settings: stop after ``patience`` epochs without an improvement of ``min_delta``.
 
-    def __init__(self, patience: int = 10, min_delta: float = 1e-6):
-        self.patience, self.min_delta = patience, min_delta
-        self.best, self.waited = math.inf, 0
+    What a fit has seen so far is kept by the fit, so one object serves many.
+    """
+
+    patience: int = 10
+    min_delta: float = 1e-6
+
+    def watch(self) -> Callable[[float], bool]:
+        """A fresh judge of successive losses; true when it is time to stop."""
+        best, waited = math.inf, 0
 
-    def update(self, loss: float) -> bool:
-        if loss < self.best - self.min_delta:
-            self.best, self.waited = loss, 0
-            return False
-        self.waited += 1
-        return self.waited >= self.patience
+        def stop(loss: float) -> bool:
+            nonlocal best, waited
+            better = loss < best - self.min_delta
+            best, waited = (loss, 0) if better else (best, waited + 1)
+            return waited >= self.patience
 
+        return stop
 
-def learning_rate_at(initial: float, epoch: int, schedule: str = "constant", **kw) -> float:
+
+def learning_rate_at(
+    initial: float,
+    epoch: int,
+    schedule: str = "constant",
+    gamma: float | None = None,
+    step_size: int = 10,
+    power: float = 1.0,
+) -> float:
     """Learning rate of an epoch under a constant, step, exp or inv schedule."""
-    rules = {
-        "constant": lambda: initial,
-        "step": lambda: initial * kw.get("gamma", 0.1) ** (epoch // kw.get("step_size", 10)),
-        "exp": lambda: initial * kw.get("gamma", 0.95) ** epoch,
-        "inv": lambda: initial / (1 + kw.get("gamma", 0.1) * epoch) ** kw.get("power", 1),
-    }
-    if schedule not in rules:
-        raise ValueError(f"unknown schedule: {schedule}")
-    return rules[schedule]()
+    if schedule == "constant":
+        return initial
+    if schedule == "step":
+        return initial * (0.1 if gamma is None else gamma) ** (epoch // step_size)
+    if schedule == "exp":
+        return initial * (0.95 if gamma is None else gamma) ** epoch
+    if schedule == "inv":
+        return initial / (1 + (0.1 if gamma is None else gamma) * epoch) ** power
+    raise ValueError(f"unknown schedule: {schedule}")
 
 
 @dataclass
@@ -214,7 +230,8 @@ def _closed_form(p: _Problem, ridge: float) -> tuple[np.ndarray, int]:
 
 class _StopRule:
     def __init__(self, p, tol, relative, early, val):
-        self.p, self.tol, self.relative, self.early, self.val = p, tol, relative, early, val
+        self.p, self.tol, self.relative, self.val = p, tol, relative, val
+        self.early = early.watch() if early else None
         self.previous = math.inf
         self.history: list[tuple[int, float, float | None]] = []
 
@@ -228,7 +245,7 @@ class _StopRule:
         done = abs(self.previous - loss) < limit
         self.previous = loss
         if self.early is not None:
-            done = self.early.update(loss if val_loss is None else val_loss) or done
+            done = self.early(loss if val_loss is None else val_loss) or done
         return done
 
 

@@ -143,7 +143,9 @@ def handle_outliers(
             warnings.warn("isolation_forest has no limits to clip to", stacklevel=2)
             return df
         for c in columns:
-            df = IsolationScorer.fit(df, c).mark(df)
+            scorer = IsolationScorer.fit(df, c)
+            if not scorer.with_score(df.select(c)).where(F.col("_score") > scorer.cut).isEmpty():
+                df = scorer.mark(df)
         return df
     bounds = outlier_bounds(df, columns, method, threshold)
     if action == "clip":

@@ -175,8 +175,10 @@ def test_schedules_and_early_stop():
     assert learning_rate_at(0.3, 7) == 0.3
     with pytest.raises(ValueError):
         learning_rate_at(1.0, 1, "cosine")
-    stop = EarlyStop(patience=2)
-    assert [stop.update(v) for v in (1.0, 0.5, 0.5, 0.5)] == [False, False, False, True]
+    settings = EarlyStop(patience=2)
+    for _ in range(2):  # every fit starts anew
+        stop = settings.watch()
+        assert [stop(v) for v in (1.0, 0.5, 0.5, 0.5)] == [False, False, False, True]
 
 
 def test_cross_validation_matches_direct_fits(df, lin5):
