@@ -61,40 +61,40 @@ class Pieces:
         # where no piece holds two neighbouring characters, all paths meet
         self.before_space = not any(a != SPACE and b == SPACE for a, b in inside)
         self.newline_apart = not any("\n" in pair for pair in inside)
-        self.starts: dict[str, int] = {}  # longest piece that ends with a character
+        # lengths of the pieces that end with two characters, the longest first
+        sizes: dict[str, set[int]] = {}
         for p in self.id:
-            self.starts[p[-1]] = max(len(p), self.starts.get(p[-1], 1))
-        self.pairs: dict[tuple[str, str], bool] = {}
+            if len(p) > 1:
+                sizes.setdefault(p[-2:], set()).add(len(p))
+        self.sizes = {k: sorted(v, reverse=True) for k, v in sizes.items()}
+        # of every piece that merging builds: whether it may follow the pieces asked for so far
+        self.arcs: dict[str, dict[str, bool]] = {}
+        if kind == "bpe":
+            self.arcs = {p: {} for p in self.id if len(p) > 1 and self.merged(p) == [p]}
+        self.pairs = 0
         self.known: dict[str, bytes] = {"": b""}
 
     def merged(self, text: str) -> list[str]:
         """Merges of neighbouring parts by score, the leftmost first, until none is a piece."""
-        parts, score = list(text), self.score
-        while len(parts) > 1:
-            best, at = None, -1
-            for k in range(len(parts) - 1):
-                s = score.get(parts[k] + parts[k + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, k
-            if at < 0:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        parts, get, none = list(text), self.score.get, float("-inf")
+        pair = [get(a + b, none) for a, b in zip(parts, parts[1:])]
+        while pair and (best := max(pair)) > none:
+            k = pair.index(best)
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            del pair[k]
+            if k:
+                pair[k - 1] = get(parts[k - 1] + parts[k], none)
+            if k < len(pair):
+                pair[k] = get(parts[k] + parts[k + 1], none)
         return parts
 
     def follows(self, a: str, b: str) -> bool:
-        key = (a, b)
-        ok = self.pairs.get(key)
-        if ok is None:
-            if len(self.pairs) >= CACHED_PAIRS:
-                self.pairs.clear()
-            ok = self.pairs[key] = self.merged(a + b) == [a, b]
-        return ok
-
-    def _whole(self, piece: str) -> bool:
-        key = ("", piece)
-        ok = self.pairs.get(key)
-        if ok is None:
-            ok = self.pairs[key] = len(piece) == 1 or self.merged(piece) == [piece]
+        if self.pairs >= CACHED_PAIRS:
+            self.pairs = 0
+            for known in self.arcs.values():
+                known.clear()
+        self.pairs += 1
+        ok = self.arcs[b][a] = self.merged(a + b) == [a, b]
         return ok
 
     def segment(self, text: str, window: int = 256) -> list[str]:
@@ -104,55 +104,56 @@ class Pieces:
         two looks for a common boundary (more only while paths stay apart).
         """
         out: list[str] = []
-        start = {0: 0}  # node: where its arc begins
-        last = {0: ""}  # node: the piece on its arc
-        total = {0: 0.0}
+        # of the open nodes, the first of which is ``base``:
+        start = [0]  # where a node's arc begins
+        last = [""]  # the piece on it
+        total = [0.0]
         base, looked = 0, 0
         unigram = self.kind == "unigram"
+        sizes, arcs = self.sizes, self.arcs
         for j in range(1, len(text) + 1):
-            reach = min(self.starts.get(text[j - 1], 1), j - base)
+            chosen = j - 1
             if unigram:
-                best = None
-                for i in range(j - reach, j):
-                    p = text[i:j]
-                    s = self.score.get(p)
-                    if s is None:
-                        if i < j - 1:
-                            continue
-                        s = self.lowest - 10.0
-                    if i in total and (best is None or total[i] + s > best):
-                        best, chosen = total[i] + s, i
-                total[j] = best
+                best = total[-1] + self.score.get(text[chosen:j], self.lowest - 10.0)
+                for size in sizes.get(text[j - 2 : j], ()):
+                    s = self.score.get(text[j - size : j]) if size <= j - base else None
+                    if s is not None and total[j - size - base] + s >= best:
+                        best, chosen = total[j - size - base] + s, j - size
+                total.append(best)
             else:
-                chosen = j - 1
-                for i in range(j - reach, j - 1):
-                    p = text[i:j]
-                    if p in self.id and self._whole(p) and (i == 0 or self.follows(last[i], p)):
+                for size in sizes.get(text[j - 2 : j], ()):
+                    i = j - size
+                    known = arcs.get(text[i:j]) if i >= base else None
+                    if known is None:
+                        continue
+                    ok = i == 0 or known.get(last[i - base])
+                    if ok is None:
+                        ok = self.follows(last[i - base], text[i:j])
+                    if ok:
                         chosen = i
                         break
-            start[j], last[j] = chosen, text[chosen:j]
+            start.append(chosen)
+            last.append(text[chosen:j])
             if j - looked >= window:
                 looked = j
                 open_ = set(range(max(base, j - self.longest + 1), j + 1))
                 while len(open_) > 1:
                     k = max(open_)
                     open_.remove(k)
-                    open_.add(start[k])
+                    open_.add(start[k - base])
                 b = open_.pop()
                 if b > base:
                     out += self._path(start, last, base, b)
-                    for k in range(base, b):
-                        del start[k], last[k]
-                        total.pop(k, None)
+                    del start[: b - base], last[: b - base], total[: b - base]
                     base = b
-        return out + self._path(start, last, base, len(text))
+        return out + self._path(start, last, base, base + len(start) - 1)
 
     @staticmethod
-    def _path(start: dict[int, int], last: dict[int, str], low: int, high: int) -> list[str]:
+    def _path(start: list[int], last: list[str], base: int, high: int) -> list[str]:
         path = []
-        while high > low:
-            path.append(last[high])
-            high = start[high]
+        while high > base:
+            path.append(last[high - base])
+            high = start[high - base]
         return path[::-1]
 
     def ids(self, text: str) -> list[int]:
