@@ -61,11 +61,14 @@ class Pieces:
         # where no piece holds two neighbouring characters, all paths meet
         self.before_space = not any(a != SPACE and b == SPACE for a, b in inside)
         self.newline_apart = not any("\n" in pair for pair in inside)
-        # lengths of the pieces that end with two characters, the longest first
+        # lengths of the pieces that end with two or three characters, the longest first
         sizes: dict[str, set[int]] = {}
         for p in self.id:
             if len(p) > 1:
-                sizes.setdefault(p[-2:], set()).add(len(p))
+                sizes.setdefault(p[-3:], set()).add(len(p))
+        for end, own in sizes.items():
+            if len(end) == 3 and end[1:] in self.id:
+                own.add(2)
         self.sizes = {k: sorted(v, reverse=True) for k, v in sizes.items()}
         # of every piece that merging builds: whether it may follow the pieces asked for so far
         self.arcs: dict[str, dict[str, bool]] = {}
@@ -115,13 +118,13 @@ class Pieces:
             chosen = j - 1
             if unigram:
                 best = total[-1] + self.score.get(text[chosen:j], self.lowest - 10.0)
-                for size in sizes.get(text[j - 2 : j], ()):
+                for size in sizes.get(text[j - 3 : j]) or sizes.get(text[j - 2 : j], ()):
                     s = self.score.get(text[j - size : j]) if size <= j - base else None
                     if s is not None and total[j - size - base] + s >= best:
                         best, chosen = total[j - size - base] + s, j - size
                 total.append(best)
             else:
-                for size in sizes.get(text[j - 2 : j], ()):
+                for size in sizes.get(text[j - 3 : j]) or sizes.get(text[j - 2 : j], ()):
                     i = j - size
                     known = arcs.get(text[i:j]) if i >= base else None
                     if known is None:
