@@ -163,9 +163,11 @@ def outliers_zscore_clip(spark, sf):
 
 @query()
 def outliers_isolation_forest(spark, sf):
-    df = staged_listing(spark, sf, ["row_key", "median_house_value", "population"])
-    marked = outliers.handle_outliers(df, "isolation_forest", "mark", columns=[TARGET, "population"])
-    return marked.groupBy(f"{TARGET}_is_outlier", "population_is_outlier").agg(F.count("*").alias("rows"))
+    """Rows and marked rows of every numeric column but the target."""
+    df = staged_listing(spark, sf, KEYED)
+    marked = outliers.handle_outliers(df, "isolation_forest", "mark", columns=NUMERIC)
+    flags = [c for c in marked.columns if c.endswith("_is_outlier")]
+    return marked.agg(F.count("*").alias("rows"), *[F.sum(c).alias(c) for c in flags])
 
 
 # -- derived features -------------------------------------------------------

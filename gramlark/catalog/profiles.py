@@ -78,14 +78,11 @@ def null_counts(spark, sf):
     return rounded(profile.null_counts(listing(spark, sf)), 8)
 
 
-_DUP = ["housing_median_age", "total_rooms", "median_income", CATEGORY]
-
-
 @query(with_listing(f"""
 SELECT sum(c)::BIGINT AS rows, sum(c - 1)::BIGINT AS duplicates, {q('sum(c - 1) * 100.0::DOUBLE / sum(c)', 8)} AS percent
-FROM (SELECT count(*) AS c FROM listing GROUP BY {', '.join(_DUP)})"""))
+FROM (SELECT count(*) AS c FROM listing GROUP BY {RAW_LIST})"""))
 def duplicate_rows(spark, sf):
-    return rounded(profile.duplicate_rows(listing(spark, sf, _DUP)), 8)
+    return rounded(profile.duplicate_rows(listing(spark, sf)), 8)
 
 
 @query(with_listing(" UNION ALL ".join(
@@ -107,13 +104,13 @@ def target_profile(spark, sf):
     )
 
 
-@query(with_listing("""
-SELECT 'total_rooms' AS "column", 0::BIGINT AS infinities FROM listing GROUP BY 1
-UNION ALL SELECT 'bedrooms', count(*) FILTER (total_bedrooms IS NULL) FROM listing"""))
+@query(with_listing(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL OR {c} = -1) AS infinities FROM listing" for c in ALL_NUMERIC)))
 def infinite_counts(spark, sf):
-    df = listing(spark, sf, ["total_rooms", "total_bedrooms"])
-    marked = F.coalesce(F.col("total_bedrooms"), F.lit(float("inf")))
-    return profile.infinite_counts(df.select("total_rooms", marked.alias("bedrooms")))
+    """All numeric columns, with their gaps marked by infinities."""
+    df = listing(spark, sf, ALL_NUMERIC)
+    marked = [F.coalesce(F.when(F.col(c) == -1, F.lit(float("-inf"))).otherwise(F.col(c)), F.lit(float("inf"))).alias(c) for c in ALL_NUMERIC]
+    return profile.infinite_counts(df.select(*marked))
 
 
 @query(with_listing(f"""

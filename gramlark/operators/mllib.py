@@ -40,7 +40,9 @@ def fit_mllib(
     max_iter: int = 10_000,
     convention: str = "raw",
     tol: float = 1e-10,
+    solver: str = "normal",
 ) -> LinearModel:
+    """``solver`` is Spark's; "normal" takes up to 4096 features and fails beyond, "l-bfgs" any number."""
     if model not in MODELS:
         raise ValueError(f"unknown model: {model}")
     stats = df.agg(F.count(target).alias("n"), F.stddev_pop(target).alias("s")).first()
@@ -56,7 +58,7 @@ def fit_mllib(
         maxIter=max_iter,
         tol=tol,
         standardization=convention == "standardized",
-        solver="normal" if len(features) <= 4096 else "l-bfgs",
+        solver=solver,
     ).fit(assembled)
     hyper = {} if model == "linear_regression" else {"alpha": float(alpha)}
     if model == "elastic_net":

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -39,7 +40,7 @@ def stage_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
     root = tempfile.mkdtemp(prefix="gramlark-stage-")
     spark.sparkContext.setCheckpointDir(root)
