@@ -330,7 +330,7 @@ def fit_ridge_spark_ml(spark, sf):
 @query()
 def fit_sgd_regressor(spark, sf):
     df = complete(spark, sf)
-    m = fit_sgd(df, NUMERIC, TARGET, learning_rate=0.05, max_iter=5)
+    m = fit_sgd(df, NUMERIC, TARGET, learning_rate=0.05)
     return rounded(m.history_frame(spark).drop("model", "val_loss"), 0)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gramlark.session import stage
+
 LOOKUP_ROWS = 10_000
 
 
@@ -33,11 +35,12 @@ def hashed_bucket(key: Column, buckets: Column) -> Column:
 
 
 def attach(df: DataFrame, table: DataFrame, on: list[str] | str) -> DataFrame:
-    """Left-join a per-key table.
+    """Left-join a per-key table, which is computed and written once.
 
     The table is broadcast only after counting that it has at most
     ``LOOKUP_ROWS`` rows; a larger one is joined by a shuffle.
     """
+    table = stage(table, "lookup")
     rows = table.limit(LOOKUP_ROWS + 1).collect()
     if len(rows) <= LOOKUP_ROWS:
         small = df.sparkSession.createDataFrame(rows, table.schema)

@@ -195,6 +195,8 @@ def _interpolate(stats: dict[int, float], p: float, n: int) -> float:
         return a
     if math.isinf(a) or math.isinf(b):
         return a if math.isinf(a) else b
+    if math.isinf(b - a):
+        return a * (hi - h) + b * (h - lo)
     return a + (b - a) * (h - lo)
 
 
@@ -243,7 +245,10 @@ def _joined_bins(long: DataFrame, by: list[str], brackets: list[_Bracket], n_bin
     """Count, minimum and maximum per bracket and bin of grouped values."""
     inside = _in_brackets(long, by, brackets)
     if n_bins:
-        share = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
+        # ranges beyond the largest double are halved before subtracting
+        half = F.when(F.col("hi") - F.col("lo") < F.lit(math.inf), 1.0).otherwise(0.5)
+        low = F.col("lo") * half
+        share = (F.col("v") * half - low) / (F.col("hi") * half - low)
         slot = F.least(F.floor(share * n_bins), F.lit(n_bins - 1))
     else:
         slot = F.col("v")
@@ -267,6 +272,9 @@ def _batch_bins(df: DataFrame, brackets: list[_Bracket], n_bins: int):
         acc = [None] * len(spans)
         for batch in batches:
             for j, (lows, highs, _) in enumerate(spans):
+                # ranges beyond the largest double are halved before subtracting
+                with np.errstate(over="ignore"):
+                    half = np.where(np.isinf(highs - lows), 0.5, 1.0)
                 v = _values(batch, j)
                 at = np.searchsorted(lows, v, side="right") - 1
                 ok = (at >= 0) & (v <= highs[at])
@@ -280,9 +288,9 @@ def _batch_bins(df: DataFrame, brackets: list[_Bracket], n_bins: int):
                         counts = np.bincount(at_, np.append(acc[j][1], counts)).astype(np.int64)
                     acc[j] = (values, counts)
                     continue
-                slot = np.minimum(
-                    np.floor((v - lows[at]) / (highs[at] - lows[at]) * n_bins), n_bins - 1
-                ).astype(np.int64) + at * n_bins
+                low = lows[at] * half[at]
+                share = (v * half[at] - low) / (highs[at] * half[at] - low)
+                slot = np.minimum(np.floor(share * n_bins), n_bins - 1).astype(np.int64) + at * n_bins
                 if acc[j] is None:
                     size = len(lows) * n_bins
                     acc[j] = (np.zeros(size, np.int64), np.full(size, np.inf), np.full(size, -np.inf))

@@ -13,6 +13,7 @@ from gramlark.functions.expressions import attach, flag
 from gramlark.functions.quantiles import exact_quantiles, quantile_map
 from gramlark.operators.knn import knn_impute
 from gramlark.schema import CATEGORY, numeric_columns
+from gramlark.session import stage
 
 STRATEGIES = ("mean", "median", "grouped_median", "knn")
 
@@ -38,7 +39,8 @@ def group_medians(df: DataFrame, columns: list[str], group: str) -> DataFrame:
 
 @dataclass
 class Imputer:
-    """Fitted fills.  ``fills`` are global values; ``groups`` per-group medians."""
+    """Fitted fills.  ``fills`` are global values; ``groups`` per-group medians;
+    ``donors`` the rows and columns a nearest-neighbour fill searches."""
 
     strategy: str = "grouped_median"
     group: str = CATEGORY
@@ -46,14 +48,18 @@ class Imputer:
     columns: list[str] = field(default_factory=list)
     fills: dict[str, float] = field(default_factory=dict)
     groups: DataFrame | None = None
+    donors: DataFrame | None = None
 
     def fit(self, df: DataFrame, columns: list[str] | None = None) -> "Imputer":
         if self.strategy not in STRATEGIES:
             raise ValueError(f"unknown strategy: {self.strategy}")
-        self.columns = columns_with_nulls(df, columns or numeric_columns(df))
+        known = columns or numeric_columns(df)
+        self.columns = columns_with_nulls(df, known)
         if not self.columns:
             return self
-        if self.strategy == "mean":
+        if self.strategy == "knn":
+            self.donors = stage(df.select(known), "donors")
+        elif self.strategy == "mean":
             row = df.agg(*[F.avg(c).alias(c) for c in self.columns]).first()
             self.fills = {c: row[c] for c in self.columns if row[c] is not None}
         else:
@@ -64,13 +70,13 @@ class Imputer:
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Fill with the stored values; the KNN strategy searches ``df`` itself."""
+        """Fill with the stored values, or from the stored donors."""
         if not self.columns:
             return df
         order = df.columns
         out = add_indicators(df, self.columns) if self.indicators else df
         if self.strategy == "knn":
-            return knn_impute(out, numeric_columns(out), self.columns)
+            return knn_impute(out, self.donors.columns, self.columns, donors=self.donors)
         if self.groups is not None:
             out = attach(out, self.groups, self.group)
         fill = {}

@@ -32,7 +32,8 @@ SLICE_ROWS, MAX_SLICES = 2_000, 2_000
 CELL_ROWS = 50_000
 VISITOR_ROWS = 20_000
 CHUNK_CELLS = 4_000_000
-SPARE = 16
+CHUNK_PAIRS = 500_000
+ROUNDING = 1e-12
 
 
 def _distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -45,32 +46,39 @@ def _distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(shared > 0, d, np.inf)
 
 
-def _nearest(q: np.ndarray, x: np.ndarray, has: np.ndarray, k: int):
-    """Distances and positions of the k nearest donor rows of ``x`` per row of ``q``.
+def _nearest(q: np.ndarray, x: np.ndarray, values: np.ndarray, k: int):
+    """Row of ``q``, distance and value of its k nearest rows of ``x`` with a value.
 
-    ``has`` marks rows holding the wanted value; NaN are missing cells.  Matrix
-    products give all distances up to rounding, and the exact distances of a
-    few more than k candidates decide.
+    NaN are missing cells.  Of equally near donors those with the smaller values
+    come first, so the result does not depend on the order of the rows.  Matrix
+    products give all distances up to a rounding bound; the exact distances of
+    all donors that may be among the k nearest decide.
     """
-    donors = np.flatnonzero(has)
+    donors = np.flatnonzero(~np.isnan(values))
     if len(donors) == 0:
-        return np.empty((len(q), 0)), np.empty((len(q), 0), int)
-    xd = x[donors]
+        return np.empty(0, int), np.empty(0), np.empty(0)
+    xd, held = x[donors], values[donors]
     with np.errstate(all="ignore"):
-        center = np.nan_to_num(np.nanmean(xd, axis=0)) if len(xd) else 0.0
+        center = np.nan_to_num(np.nanmean(xd, axis=0))
     px, pq = ~np.isnan(xd), ~np.isnan(q)
     x0, q0 = np.where(px, xd - center, 0.0), np.where(pq, q - center, 0.0)
     fx, fq = px.astype(float), pq.astype(float)
-    d2 = (q0 * q0) @ fx.T + fq @ (x0 * x0).T - 2.0 * (q0 @ x0.T)
     shared = fq @ fx.T
+    size = (q0 * q0) @ fx.T + fq @ (x0 * x0).T
     with np.errstate(divide="ignore", invalid="ignore"):
-        d2 = np.where(shared > 0, d2 / shared, np.inf)
-    wide = min(k + SPARE, len(donors))
-    near = np.argpartition(d2, wide - 1, axis=1)[:, :wide]
-    exact = _distances(q[:, None, :], xd[near])
-    kk = min(k, wide)
-    best = np.argsort(exact, axis=1, kind="stable")[:, :kk]
-    return np.take_along_axis(exact, best, axis=1), donors[np.take_along_axis(near, best, axis=1)]
+        d2 = np.where(shared > 0, (size - 2.0 * (q0 @ x0.T)) / shared, np.inf)
+        slack = np.where(shared > 0, ROUNDING * size / shared, 0.0)
+    kth = min(k, len(donors)) - 1
+    reach = np.partition(d2 + slack, kth, axis=1)[:, kth]
+    row, col = np.nonzero((d2 - slack <= reach[:, None]) & (shared > 0))
+    exact = np.empty(len(row))
+    for s in range(0, len(row), CHUNK_PAIRS):
+        part = slice(s, s + CHUNK_PAIRS)
+        exact[part] = _distances(q[row[part]], xd[col[part]])
+    order = np.lexsort((held[col], exact, row))
+    row, exact, value = row[order], exact[order], held[col[order]]
+    first = np.arange(len(row)) - np.searchsorted(row, row, side="left") < k
+    return row[first], exact[first], value[first]
 
 
 def knn_impute(
@@ -80,45 +88,51 @@ def knn_impute(
     k: int = 5,
     cell_rows: int = CELL_ROWS,
     visitor_rows: int = VISITOR_ROWS,
+    donors: DataFrame | None = None,
 ) -> DataFrame:
     """Fill NULLs of ``fill`` with the mean of the k nearest donors' values.
 
-    A value without any donor at a known distance gets the column mean.
+    ``donors`` are the rows to search, those of ``df`` by default.  A value
+    without any donor at a known distance gets the mean of the donors' column.
     """
     spark = df.sparkSession
     order = df.columns
     rows = stage(df.withColumn("_id", F.expr("uuid()")), "knn-rows")
-    counts = rows.agg(
+    some_null = " OR ".join(f"`{c}` IS NULL" for c in fill)
+    if rows.where(some_null).isEmpty():
+        return df
+    pool = rows
+    if donors is not None:
+        pool = stage(donors.select(*columns).withColumn("_id", F.expr("uuid()")), "knn-donors")
+    counts = pool.agg(
         F.count("*").alias("n"), *[F.count(c).alias(f"c{i}") for i, c in enumerate(columns)],
         *[F.avg(c).alias(f"m{i}") for i, c in enumerate(fill)],
-        F.count_if(F.greatest(*[F.col(c).isNull() for c in fill])).alias("open")
-        if len(fill) > 1 else F.count_if(F.col(fill[0]).isNull()).alias("open"),
     ).first()
-    if counts["open"] == 0:
+    if counts["n"] == 0:
         return df
     means = {c: counts[f"m{i}"] for i, c in enumerate(fill)}
-    anchor = _anchor(rows, columns, counts)
+    anchor = _anchor(pool, columns, counts)
     n = counts["n"]
 
     # slices of the anchor column of about equal size, up to ties
     n_slices = max(1, min(MAX_SLICES, n // SLICE_ROWS))
     probs = [i / n_slices for i in range(1, n_slices)]
-    edges = sorted(set(quantile_map(rows, [anchor], probs).get(anchor, []))) if probs else []
+    edges = sorted(set(quantile_map(pool, [anchor], probs).get(anchor, []))) if probs else []
     a = F.col(anchor).cast("double")
-    typed = rows.select("_id", *[F.col(c).cast("double").alias(c) for c in columns])
+    typed = ["_id", *[F.col(c).cast("double").alias(c) for c in columns]]
     slice_of = _slice_udf(edges)
-    donors = typed.withColumn("_slice", F.when(a.isNotNull(), slice_of(a)).otherwise(F.lit(-1)))
-    spans = donors.groupBy("_slice").agg(F.count("*").alias("_rows")).collect()  # one per slice
+    placed = pool.select(typed).withColumn("_slice", F.when(a.isNotNull(), slice_of(a)).otherwise(F.lit(-1)))
+    spans = placed.groupBy("_slice").agg(F.count("*").alias("_rows")).collect()  # one per slice
     salts = {r["_slice"]: 1 + r["_rows"] // cell_rows for r in spans}
     span_table = F.broadcast(
         spark.createDataFrame(
             [(r["_slice"], salts[r["_slice"]]) for r in spans], "_slice int, _salts bigint"
         )
     )
-    cells = donors.join(span_table, "_slice").withColumn(
+    cells = placed.join(span_table, "_slice").withColumn(
         "_cell", hashed_bucket(F.col("_id"), F.col("_salts"))
     )
-    open_rows = typed.where(" OR ".join(f"`{c}` IS NULL" for c in fill)).withColumn(
+    open_rows = rows.select(typed).where(some_null).withColumn(
         "_missing", F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in fill]))
     )
     # the home slice first; rows without an anchor value start in slice 0
@@ -206,18 +220,13 @@ def _search(cells, visitors, columns, fill, k, visitor_rows) -> DataFrame:
             for c in fills:
                 wants = left[left["_missing"].map(lambda m, c=c: c in m)]
                 held = right[donor_names[c]]
-                has, target = held.notna().to_numpy(), held.to_numpy(float)
+                target = held.to_numpy(float)
                 step = max(1, CHUNK_CELLS // max(len(right), 1))
                 for s in range(0, len(wants), step):
                     part = wants.iloc[s : s + step]
-                    dist, pos = _nearest(part[cols].to_numpy(float), x, has, k)
-                    known = np.isfinite(dist)
-                    ids = np.repeat(part["_id"].to_numpy(), dist.shape[1])[known.ravel()]
-                    out.append(
-                        pd.DataFrame(
-                            {"_id": ids, "_fill": c, "_dist": dist[known], "_value": target[pos[known]]}
-                        )
-                    )
+                    row, dist, value = _nearest(part[cols].to_numpy(float), x, target, k)
+                    ids = part["_id"].to_numpy()[row]
+                    out.append(pd.DataFrame({"_id": ids, "_fill": c, "_dist": dist, "_value": value}))
         if out:
             return pd.concat(out, ignore_index=True)
         return pd.DataFrame({"_id": [], "_fill": [], "_dist": [], "_value": []})

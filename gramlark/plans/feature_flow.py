@@ -12,7 +12,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gramlark.functions.quantiles import to_long
 from gramlark.operators.cluster import GeoClusters
 from gramlark.operators.derive import Deriver
 from gramlark.operators.encode import Encoder
@@ -48,6 +50,8 @@ class FeatureFlow:
     deriver: Deriver | None = None
     geo: GeoClusters | None = None
     encoder: Encoder | None = None
+    # means for what is still NULL when all columns are there (a ratio by zero, a new gap)
+    fills: dict[str, float] = field(default_factory=dict)
     scaler: Scaler | None = None
     selected: list[str] = field(default_factory=list)
     fitted: bool = False
@@ -77,8 +81,10 @@ class FeatureFlow:
         self.encoder = Encoder(self.encoding, self.target).fit(data)
         # the derived columns are computed once and read by the remaining passes
         data = stage(self.encoder.transform(data), "flow-encoded")
-        self.scaler = Scaler(self.scaling, (self.target,)).fit(data)
         features = numeric_columns(data, exclude=(self.target,))
+        if self._fit_fills(data, features):
+            data = self._fill(data)
+        self.scaler = Scaler(self.scaling, (self.target,)).fit(data)
         if self.selection and self.target in data.columns:
             self.selected = select_features(
                 data, self.target, self.selection, self.k_best, features, self.scaler.params
@@ -88,6 +94,19 @@ class FeatureFlow:
         self.fitted = True
         return self
 
+    def _fit_fills(self, data: DataFrame, features: list[str]) -> bool:
+        """Mean of every feature (0 if it has no value); true if ``data`` has gaps."""
+        found = to_long(data, features).groupBy("column").agg(F.avg("v").alias("m"), F.count("v").alias("n"))
+        rows = {r["column"]: (r["m"], r["n"]) for r in found.collect()}  # one per feature
+        self.fills = {c: float(rows[c][0]) if c in rows and rows[c][1] else 0.0 for c in features}
+        n = data.count()
+        return any(c not in rows or rows[c][1] < n for c in features)
+
+    def _fill(self, df: DataFrame) -> DataFrame:
+        return df.withColumns(
+            {c: F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in self.fills.items() if c in df.columns}
+        )
+
     def transform(self, df: DataFrame) -> DataFrame:
         """Selected features, plus the target and key columns the input has."""
         if not self.fitted:
@@ -96,7 +115,7 @@ class FeatureFlow:
         out = clip_outliers(out, self.bounds)
         out = self.deriver.transform(out)
         out = self.geo.transform(out)
-        out = self.encoder.transform(out)
+        out = self._fill(self.encoder.transform(out))
         out = self.scaler.transform(out)
         kept = [c for c in (*self.keys, self.target) if c in df.columns]
         return out.select(*kept, *self.selected)
@@ -136,6 +155,8 @@ class FeatureFlow:
             add("encode_column", c, "position", j)
             for i, v in enumerate(self.encoder.categories.get(c, [])):
                 add("encode", c, f"category_{i:05d}", text=v)
+        for c, v in self.fills.items():
+            add("fill", c, "mean", v)
         for c, (m, s) in self.scaler.params.items():
             add("scale", c, "center", m)
             add("scale", c, "scale", s)
@@ -150,6 +171,8 @@ class FeatureFlow:
         ).write.mode("overwrite").parquet(f"{path}/state")
         if self.imputer.groups is not None:
             self.imputer.groups.write.mode("overwrite").parquet(f"{path}/groups")
+        if self.imputer.donors is not None:
+            self.imputer.donors.write.mode("overwrite").parquet(f"{path}/donors")
         for c, table in self.encoder.tables.items():
             table.write.mode("overwrite").parquet(f"{path}/encoder/{c}")
 
@@ -165,6 +188,8 @@ class FeatureFlow:
         flow.imputer.fills = {r["column"]: r["value"] for r in by("impute") if r["value"] is not None}
         if flow.impute == "grouped_median" and flow.imputer.columns:
             flow.imputer.groups = spark.read.parquet(f"{path}/groups")
+        if flow.impute == "knn" and flow.imputer.columns:
+            flow.imputer.donors = spark.read.parquet(f"{path}/donors")
         limits: dict[str, dict[str, float]] = {}
         for r in by("outliers"):
             limits.setdefault(r["column"], {})[r["stat"]] = r["value"]
@@ -191,6 +216,7 @@ class FeatureFlow:
             flow.encoder.tables = {
                 c: spark.read.parquet(f"{path}/encoder/{c}") for c in flow.encoder.columns
             }
+        flow.fills = {r["column"]: r["value"] for r in by("fill")}
         pairs: dict[str, dict[str, float]] = {}
         for r in by("scale"):
             pairs.setdefault(r["column"], {})[r["stat"]] = r["value"]

@@ -27,8 +27,12 @@ def write_processed(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def write_folds(df: DataFrame, path: str) -> None:
-    """One copy of the rows, partitioned by fold."""
-    df.write.mode("overwrite").partitionBy("fold").parquet(path)
+    """One copy of the rows, partitioned by fold.
+
+    Rows are gathered by fold first, so that not every task writes a file per
+    fold; the rebalancing splits folds that are large for one task.
+    """
+    df.hint("rebalance", "fold").write.mode("overwrite").partitionBy("fold").parquet(path)
 
 
 def read_folds(spark: SparkSession, path: str) -> DataFrame:

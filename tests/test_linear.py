@@ -164,7 +164,7 @@ def test_penalty_translation():
 
 
 def test_sgd_comes_close_to_least_squares(df, gram):
-    m = fit_sgd(df, XS, "y", learning_rate=0.05, max_iter=40, batch=32)
+    m = fit_sgd(df, XS, "y", learning_rate=0.05, max_iter=40, batches=32)
     assert m.score(gram)["r2"] > 0.99
 
 
