@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gramlark.llm.common import column_map
@@ -166,16 +166,18 @@ def reliable_patterns(
     return rated.where(F.col("reliability") >= threshold)
 
 
-def find(docs: DataFrame, **how) -> DataFrame:
+def find(docs: DataFrame, row: Column | None = None, **how) -> DataFrame:
     """``(row_id, doc_id, base, spans)`` for every row of ``docs``: base and all spans.
 
     Spans are ordered by kind, then start, in code points, end exclusive; a null
     text is an empty one and has none.  Repeated rows are reported each.
-    ``row_id`` is the row's place in the scan.  Texts are read once in Python;
+    ``row_id`` is ``row``, a stored number of each row, or else the row's place in
+    this scan, which another scan need not repeat.  Texts are read once in Python;
     what is kept of them is written and all joins are by ``row_id`` or pattern.
     """
-    marked = docs.select("doc_id", scan(docs).alias("out"))
-    marked = marked.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "out.spans", "out.seen")
+    row = F.monotonically_increasing_id() if row is None else row
+    marked = docs.select(row.alias("row_id"), "doc_id", scan(docs).alias("out"))
+    marked = marked.select("row_id", "doc_id", "out.spans", "out.seen")
     marked = stage(marked, "identifiers")
     seen = marked.select("row_id", F.explode("seen").alias("o")).select("row_id", "o.*")
     good = reliable_patterns(seen.drop("row_id"), docs, **how)
@@ -212,11 +214,11 @@ def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
 def redacted(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with base and discovered identifiers in ``text`` replaced; all other columns as they are.
 
-    The reliable patterns are joined to the few rows that hold a marked token
-    after one of them, so texts are shuffled only for those rows.
+    Rows are numbered once, in a written copy that both the search and the final
+    join read.
     """
-    rows = docs.select("*", F.monotonically_increasing_id().alias("__row"))
-    found = find(docs, **how)
+    rows = stage(docs.select("*", F.monotonically_increasing_id().alias("__row")), "numbered")
+    found = find(rows, F.col("__row"), **how)
     more = F.filter("spans", lambda s: ~F.array_contains("base", s))
     extra = stage(found.select(F.col("row_id").alias("__row"), more.alias("__more")).where(F.size("__more") > 0), "more")
 
