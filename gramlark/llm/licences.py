@@ -104,6 +104,8 @@ GATE = [
     "spdx",
     "free software",
 ]
+# Fixed value: white space and comment signs around a line.
+SIGNS = r"^[\s/*#;%>!|-]+|[\s/*#]+$"
 WORD = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 FAMILIES = [*TEMPLATES, UNKNOWN]
 
@@ -190,11 +192,45 @@ def _gated(text: Column) -> Column:
     return F.coalesce(F.exists(F.array(text), hit), F.lit(False))
 
 
+def _blocks(docs: DataFrame, column: str) -> DataFrame:
+    """``(row, doc_id, paragraph, last, line)``: runs of two or more lines that aren't blank, first and last line number."""
+    bare = F.transform(
+        F.split(F.lower(F.translate(column, "\x01\x02", "")), "\n"), lambda t: F.regexp_replace(t, SIGNS, "")
+    )
+    numbered = F.transform(bare, lambda t, k: F.when(t == "", "\x01").otherwise(F.concat(k.cast("string"), F.lit("\x02"), t)))
+    runs = docs.select("row", "doc_id", F.explode(F.split(F.array_join(numbered, "\n"), "\x01")).alias("run"))
+    # only runs of two numbered lines at least have a line break between them
+    runs = runs.where(F.col("run").rlike("\x02[^\x02]*\n[0-9]+\x02"))
+    numbers = F.regexp_extract_all("run", F.lit("([0-9]+)\x02"), F.lit(1))
+    line = F.regexp_replace("run", "\\n?[0-9]+\x02", " ")
+    first, last = F.element_at(numbers, 1).cast("int"), F.element_at(numbers, -1).cast("int")
+    return runs.select("row", "doc_id", first.alias("paragraph"), last.alias("last"), line.alias("line"))
+
+
+def _one_row_a_notice(out: DataFrame) -> DataFrame:
+    """Single lines and confirmed blocks, without what a block or a line says better.
+
+    A block counts if it is confirmed and closer to its template than all its
+    lines of the same family; then its lines of that family, and those that
+    aren't confirmed, are parts of it.
+    """
+    out = stage(out, "candidates")
+    lines, blocks = out.where("last < 0"), out.where("last >= 0 AND confirmed")
+    inside = (F.col("l.row") == F.col("b.row")) & F.col("l.paragraph").between(F.col("b.paragraph"), F.col("b.last"))
+    same = F.col("l.family") == F.col("b.family")
+    better = same & (F.col("l.similarity") >= F.col("b.similarity"))
+    blocks = stage(blocks.alias("b").join(lines.alias("l"), inside & better, "left_anti"), "blocks")
+    lines = lines.alias("l").join(blocks.alias("b"), inside & (same | ~F.col("l.confirmed")), "left_anti")
+    return lines.unionByName(blocks).drop("row", "last")
+
+
 def scan(docs: DataFrame, least: float = 0.5, overlap: float = 0.6, column: str = "text") -> DataFrame:
     """``(doc_id, paragraph, family, probability, template, similarity, confirmed)``.
 
-    One row per paragraph (line, from 0) whose likeliest family is not unknown
-    and has at least probability ``least``.  ``similarity`` is the share of the
+    One row per paragraph whose likeliest family is not unknown and has at least
+    probability ``least``.  A paragraph is a line (from 0), or a run of lines
+    between blank ones without their comment signs (its first line) if that is
+    confirmed and its lines alone aren't as close: a wrapped notice is one row.  ``similarity`` is the share of the
     family's closest template whose n-grams the paragraph holds; ``confirmed``
     if it is at least ``overlap``.  Null and empty texts have no paragraphs;
     repeated rows are reported each.  Only documents and then paragraphs with a gate
@@ -204,17 +240,17 @@ def scan(docs: DataFrame, least: float = 0.5, overlap: float = 0.6, column: str
     spark = docs.sparkSession
     weights, templates = model_tables(spark)
     bias = trained()[1]
-    docs = docs.where(_gated(F.lower(column)))
-    lines = docs.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", F.posexplode(F.split(column, "\n")).alias("paragraph", "line")
-    )
-    lines = lines.select("row", "doc_id", "paragraph", F.lower("line").alias("line")).where(_gated(F.col("line")))
+    docs = docs.where(_gated(F.lower(column))).select(F.monotonically_increasing_id().alias("row"), "doc_id", column)
+    docs = stage(docs, "gated")
+    lines = docs.select("row", "doc_id", F.posexplode(F.split(column, "\n")).alias("paragraph", "line"))
+    lines = lines.select("row", "doc_id", "paragraph", F.lit(-1).alias("last"), F.lower("line").alias("line"))
+    lines = lines.unionByName(_blocks(docs, column)).where(_gated(F.col("line")))
     words = F.regexp_extract_all("line", F.lit(WORD), F.lit(0))
     pairs = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda k: F.concat_ws(" ", F.element_at("w", k), F.element_at("w", k + 1)))
-    grams = lines.select("row", "doc_id", "paragraph", words.alias("w"))
-    grams = grams.select("row", "doc_id", "paragraph", F.array_distinct(F.concat("w", F.when(F.size("w") > 1, pairs).otherwise(F.array().cast("array<string>")))).alias("g"))
-    grams = stage(grams.select("row", "doc_id", "paragraph", F.explode("g").alias("gram")), "grams")
-    keys = ["row", "doc_id", "paragraph"]
+    keys = ["row", "doc_id", "paragraph", "last"]
+    grams = lines.select(*keys, words.alias("w"))
+    grams = grams.select(*keys, F.array_distinct(F.concat("w", F.when(F.size("w") > 1, pairs).otherwise(F.array().cast("array<string>")))).alias("g"))
+    grams = stage(grams.select(*keys, F.explode("g").alias("gram")), "grams")
     sums = [F.sum(F.col("weights")[k]).alias(f"s{k}") for k in range(len(FAMILIES))]
     scored = grams.join(F.broadcast(weights), "gram").groupBy(*keys).agg(*sums)
     z = [F.col(f"s{k}") + F.lit(float(b)) for k, b in enumerate(bias)]
@@ -223,12 +259,14 @@ def scan(docs: DataFrame, least: float = 0.5, overlap: float = 0.6, column: str
     share = 1 / F.aggregate("z", F.lit(0.0), lambda a, v: a + F.exp(v - F.col("top.z")))
     found = scored.select(*keys, F.col("top.family").alias("family"), share.alias("probability"))
     found = found.where((F.col("family") != UNKNOWN) & (F.col("probability") >= least))
-    alike = grams.join(F.broadcast(templates), "gram").groupBy("row", "paragraph", "template", "family")
-    alike = alike.agg((F.count("*") / F.first("size")).alias("similarity")).groupBy("row", "paragraph", "family")
+    alike = grams.join(F.broadcast(templates), "gram").groupBy("row", "paragraph", "last", "template", "family")
+    alike = alike.agg((F.count("*") / F.first("size")).alias("similarity")).groupBy("row", "paragraph", "last", "family")
     alike = alike.agg(F.max(F.struct("similarity", "template")).alias("best"))
-    out = found.join(alike, ["row", "paragraph", "family"], "left")
+    out = found.join(alike, ["row", "paragraph", "last", "family"], "left")
     similarity = F.coalesce("best.similarity", F.lit(0.0))
-    return out.select(
+    out = out.select(
+        "row",
+        "last",
         "doc_id",
         "paragraph",
         "family",
@@ -237,3 +275,4 @@ def scan(docs: DataFrame, least: float = 0.5, overlap: float = 0.6, column: str
         similarity.alias("similarity"),
         (similarity >= overlap).alias("confirmed"),
     )
+    return _one_row_a_notice(out)
