@@ -50,6 +50,13 @@ def column_map(df: DataFrame, column: str, schema: str, make: Callable[[], Calla
     return run(F.col(column))
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name``, or with underscores before it until no column is called so."""
+    while name.lower() in {c.lower() for c in columns}:
+        name = "_" + name
+    return name
+
+
 def bounded_sample(df: DataFrame, rows: int, key: Column) -> pd.DataFrame:
     """At most ``rows`` rows, those with the smallest hash of ``key``: the same ones at any layout."""
     return df.orderBy(F.xxhash64(key), key).limit(rows).toPandas()

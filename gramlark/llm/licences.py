@@ -7,9 +7,9 @@ the executors.
 
 from __future__ import annotations
 
+import json
 import re
-from functools import lru_cache, reduce
-from operator import or_
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -86,24 +86,8 @@ OTHER = [
     "Er kam mit dem Zug und ging mit der Bahn nach Hause.",
     "Use of this service is subject to our terms; see the license agreement of your vendor.",
 ]
-# A paragraph without any of these has no feature at all.
-GATE = [
-    "licens",
-    "licenc",
-    "copyright",
-    "permission",
-    "permitted",
-    "redistribut",
-    "gnu ",
-    "gpl",
-    "apache",
-    "mozilla",
-    "mpl-",
-    "creative commons",
-    "cc by",
-    "spdx",
-    "free software",
-]
+# The commonest function words, most frequent first; the gate spares them where it can.
+COMMON = "the of and to in a is that it on be was as with by this at are or no our er der und dem an you for may not from".split()
 # Fixed value: white space and comment signs around a line.
 SIGNS = r"^[\s/*#;%>!|-]+|[\s/*#]+$"
 WORD = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
@@ -140,7 +124,8 @@ def trained() -> tuple[dict[str, np.ndarray], np.ndarray, float]:
     # half the words of a notice without its name are no licence
     name = set("mit apache gnu bsd mozilla cc creative".split())
     for text, _ in own:
-        rows += [({g for g in _grams(text) if not set(g.split()) & name and rng.random() < 0.4}, len(TEMPLATES)) for _ in range(4)]
+        grams = sorted(g for g in _grams(text) if not set(g.split()) & name)  # in an order that doesn't depend on the process
+        rows += [({g for g in grams if rng.random() < 0.4}, len(TEMPLATES)) for _ in range(4)]
     # a name alone isn't one either
     rows += [({n}, len(TEMPLATES)) for n in ("mit", "apache", "gnu", "bsd", "mozilla", "cc", "creative", "license", "2.0") for _ in range(12)]
     grams = sorted(set().union(*(g for g, _ in rows)))
@@ -177,34 +162,100 @@ def trained() -> tuple[dict[str, np.ndarray], np.ndarray, float]:
     return {g: w[i] for g, i in index.items()}, w[-1], temperature
 
 
+@lru_cache(maxsize=1)
+def gate() -> tuple[str, ...]:
+    """Words of which every paragraph that can be found holds at least one.
+
+    A family wins only if its n-grams outweigh the unknown class by the gap of
+    the biases.  The words outside the gate are chosen, common ones first, so
+    that all n-grams made of them alone stay below that gap for every family:
+    the gate follows from the weights and loses nothing.
+    """
+    weights, bias, _ = trained()
+    gap = bias[-1] - bias[:-1]
+    lift = {g: np.maximum(w[:-1] - w[-1], 0) for g, w in weights.items()}
+    words = {w for g in lift for w in g.split()}
+    spared: set[str] = set()
+    for word in [w for w in COMMON if w in words] + sorted(words - set(COMMON), key=lambda w: (len(w), w)):
+        tried = spared | {word}
+        reach = sum((v for g, v in lift.items() if tried.issuperset(g.split())), np.zeros(len(gap)))
+        if (reach < gap - 1e-3).all():
+            spared = tried
+    return tuple(sorted(words - spared))
+
+
+@lru_cache(maxsize=1)
+def block_gate(overlap: float) -> tuple[str, ...]:
+    """Words of which every run of lines that can be confirmed holds at least one.
+
+    Of each template as many words are taken, those in most of its n-grams first
+    and no common ones, that the n-grams without them are less than ``overlap``
+    of it.
+    """
+    chosen: set[str] = set()
+    for text in (t for texts in TEMPLATES.values() for t in texts):
+        grams = _grams(text)
+        rest = {g for g in grams if not chosen & set(g.split())}
+        while len(rest) >= overlap * len(grams):
+            words = sorted({w for g in rest for w in g.split()} - set(COMMON)) or sorted({w for g in rest for w in g.split()})
+            chosen.add(max(words, key=lambda w: sum(w in g.split() for g in rest)))
+            rest = {g for g in grams if not chosen & set(g.split())}
+    return tuple(sorted(chosen))
+
+
+def _literal_rows(spark: SparkSession, rows: list, schema: str) -> DataFrame:
+    """A small table as one literal: its scan needs no Python worker."""
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
+
+
 def model_tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     """``(gram, weights)`` and ``(gram, template, family, size)``; bounded by the templates above."""
     weights, _, _ = trained()
-    rows = [(g, [float(v) for v in w]) for g, w in weights.items()]
-    first = spark.createDataFrame(rows, "gram string, weights array<double>")
-    rows = [(g, f"{f}/{k}", f, len(_grams(t))) for f in TEMPLATES for k, t in enumerate(TEMPLATES[f]) for g in sorted(_grams(t))]
-    return first, spark.createDataFrame(rows, "gram string, template string, family string, size int")
+    rows = [{"gram": g, "weights": [float(v) for v in w]} for g, w in weights.items()]
+    first = _literal_rows(spark, rows, "gram: string, weights: array<double>")
+    rows = [
+        {"gram": g, "template": f"{f}/{k}", "family": f, "size": len(_grams(t))}
+        for f in TEMPLATES
+        for k, t in enumerate(TEMPLATES[f])
+        for g in sorted(_grams(t))
+    ]
+    return first, _literal_rows(spark, rows, "gram: string, template: string, family: string, size: int")
 
 
-def _gated(text: Column) -> Column:
-    """Whether a lower-cased text holds a gate word; the text is worked out once for all of them."""
-    hit = lambda t: reduce(or_, [t.contains(w) for w in GATE])
-    return F.coalesce(F.exists(F.array(text), hit), F.lit(False))
+def _holds(text: Column, words: tuple[str, ...]) -> Column:
+    """Whether a lower-cased text holds one of ``words``; the pattern tries only those with the right first letter."""
+    by_first: dict[str, list[str]] = {}
+    for w in words:
+        by_first.setdefault(w[0], []).append(re.sub(r"([.-])", r"\\\1", w[1:]))
+    options = "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in by_first.items())
+    return F.coalesce(text.rlike(f"(?<![a-z0-9])(?:{options})(?![a-z0-9])"), F.lit(False))
 
 
-def _blocks(docs: DataFrame, column: str) -> DataFrame:
-    """``(row, doc_id, paragraph, last, line)``: runs of two or more lines that aren't blank, first and last line number."""
-    bare = F.transform(
-        F.split(F.lower(F.translate(column, "\x01\x02", "")), "\n"), lambda t: F.regexp_replace(t, SIGNS, "")
-    )
+def _paragraphs(docs: DataFrame, column: str, overlap: float) -> DataFrame:
+    """``(row, doc_id, paragraph, last, line)``: lower-cased lines (``last`` is -1) and runs of two or more lines
+    that aren't blank with their first and last line number, as far as their words let them be found."""
+    plain = F.split(F.lower(column), "\n")
+    lines = F.transform(plain, lambda t, k: F.struct(k.alias("paragraph"), F.lit(-1).alias("last"), t.alias("line")))
+    lines = F.filter(lines, lambda x: _holds(x["line"], gate()))
+    text = F.lower(F.translate(column, "\x01\x02", ""))
+    bare = F.transform(F.split(text, "\n"), lambda t: F.regexp_replace(t, SIGNS, ""))
     numbered = F.transform(bare, lambda t, k: F.when(t == "", "\x01").otherwise(F.concat(k.cast("string"), F.lit("\x02"), t)))
-    runs = docs.select("row", "doc_id", F.explode(F.split(F.array_join(numbered, "\n"), "\x01")).alias("run"))
     # only runs of two numbered lines at least have a line break between them
-    runs = runs.where(F.col("run").rlike("\x02[^\x02]*\n[0-9]+\x02"))
-    numbers = F.regexp_extract_all("run", F.lit("([0-9]+)\x02"), F.lit(1))
-    line = F.regexp_replace("run", "\\n?[0-9]+\x02", " ")
-    first, last = F.element_at(numbers, 1).cast("int"), F.element_at(numbers, -1).cast("int")
-    return runs.select("row", "doc_id", first.alias("paragraph"), last.alias("last"), line.alias("line"))
+    runs = F.filter(
+        F.split(F.array_join(numbered, "\n"), "\x01"),
+        lambda r: r.rlike("\x02[^\x02]*\n[0-9]+\x02") & _holds(r, block_gate(overlap)),
+    )
+
+    def block(run: Column) -> Column:
+        numbers = F.regexp_extract_all(run, F.lit("([0-9]+)\x02"), F.lit(1))
+        first, last = F.element_at(numbers, 1).cast("int"), F.element_at(numbers, -1).cast("int")
+        return F.struct(first.alias("paragraph"), last.alias("last"), F.regexp_replace(run, "\\n?[0-9]+\x02", " ").alias("line"))
+
+    none = F.array().cast("array<struct<paragraph:int,last:int,line:string>>")
+    marks = F.col(column).contains("\x01") | F.col(column).contains("\x02")  # taken out of the text above
+    wanted = _holds(F.lower(column), block_gate(overlap)) | F.coalesce(marks, F.lit(False))
+    blocks = F.when(wanted, F.transform(runs, block)).otherwise(none)
+    return docs.select("row", "doc_id", F.inline(F.concat(lines, blocks)))
 
 
 def _one_row_a_notice(out: DataFrame) -> DataFrame:
@@ -233,23 +284,22 @@ def scan(docs: DataFrame, least: float = 0.5, overlap: float = 0.6, column: str
     confirmed and its lines alone aren't as close: a wrapped notice is one row.  ``similarity`` is the share of the
     family's closest template whose n-grams the paragraph holds; ``confirmed``
     if it is at least ``overlap``.  Null and empty texts have no paragraphs;
-    repeated rows are reported each.  Only documents and then paragraphs with a gate
-    word are taken apart, since no other has a feature; their n-grams are written
-    once and joined twice.
+    repeated rows are reported each.  Only lines with a word of ``gate`` and runs
+    with one of ``block_gate`` are taken apart, since no other can be found; their
+    known n-grams are written once and joined twice.
     """
     spark = docs.sparkSession
     weights, templates = model_tables(spark)
     bias = trained()[1]
-    docs = docs.where(_gated(F.lower(column))).select(F.monotonically_increasing_id().alias("row"), "doc_id", column)
-    docs = stage(docs, "gated")
-    lines = docs.select("row", "doc_id", F.posexplode(F.split(column, "\n")).alias("paragraph", "line"))
-    lines = lines.select("row", "doc_id", "paragraph", F.lit(-1).alias("last"), F.lower("line").alias("line"))
-    lines = lines.unionByName(_blocks(docs, column)).where(_gated(F.col("line")))
+    docs = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", column)
+    lines = _paragraphs(docs, column, overlap)
     words = F.regexp_extract_all("line", F.lit(WORD), F.lit(0))
-    pairs = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda k: F.concat_ws(" ", F.element_at("w", k), F.element_at("w", k + 1)))
+    more = F.greatest(F.size("w") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("w", 1, more), F.slice("w", 2, more), lambda x, y: F.concat_ws(" ", x, y))
     keys = ["row", "doc_id", "paragraph", "last"]
     grams = lines.select(*keys, words.alias("w"))
-    grams = grams.select(*keys, F.array_distinct(F.concat("w", F.when(F.size("w") > 1, pairs).otherwise(F.array().cast("array<string>")))).alias("g"))
+    known = F.from_json(F.lit(json.dumps(sorted(set(trained()[0]).union(*(_grams(t) for ts in TEMPLATES.values() for t in ts))))), "array<string>")
+    grams = grams.select(*keys, F.array_intersect(F.concat("w", pairs), known).alias("g"))
     grams = stage(grams.select(*keys, F.explode("g").alias("gram")), "grams")
     sums = [F.sum(F.col("weights")[k]).alias(f"s{k}") for k in range(len(FAMILIES))]
     scored = grams.join(F.broadcast(weights), "gram").groupBy(*keys).agg(*sums)

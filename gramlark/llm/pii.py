@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gramlark.llm.common import column_map
+from gramlark.llm.common import column_map, unused
 from gramlark.session import stage
 
 KINDS = ("email", "ip", "card", "phone")
@@ -217,10 +217,11 @@ def redacted(docs: DataFrame, **how) -> DataFrame:
     Rows are numbered once, in a written copy that both the search and the final
     join read.
     """
-    rows = stage(docs.select("*", F.monotonically_increasing_id().alias("__row")), "numbered")
-    found = find(rows, F.col("__row"), **how)
+    row, added = unused(docs.columns, "row"), unused(docs.columns, "added")
+    rows = stage(docs.select("*", F.monotonically_increasing_id().alias(row)), "numbered")
+    found = find(rows, F.col(row), **how)
     more = F.filter("spans", lambda s: ~F.array_contains("base", s))
-    extra = stage(found.select(F.col("row_id").alias("__row"), more.alias("__more")).where(F.size("__more") > 0), "more")
+    extra = stage(found.select(F.col("row_id").alias(row), more.alias(added)).where(F.size(added) > 0), "more")
 
     def with_spans(frame: DataFrame, column) -> DataFrame:
         @F.pandas_udf("string")
@@ -236,5 +237,5 @@ def redacted(docs: DataFrame, **how) -> DataFrame:
         return frame.withColumn("text", clean("text", column))
 
     none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    joined = rows.join(extra, "__row", "left")
-    return with_spans(joined, F.coalesce("__more", none)).select(docs.columns)
+    joined = rows.join(extra, row, "left")
+    return with_spans(joined, F.coalesce(added, none)).select(docs.columns)

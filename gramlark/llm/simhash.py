@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gramlark.llm.common import column_map, components
+from gramlark.llm.common import column_map, components, unused
 from gramlark.session import stage
 
 SEED = 42
@@ -242,8 +242,9 @@ def first_of_groups(docs: DataFrame, width: int = 3, distance: int = 2) -> DataF
     Repeated ids and nulls (last) are told apart by the row's number, so exactly
     one row of a group stays.  Rows are numbered once, in a written copy.
     """
-    placed = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "placed")
-    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")
+    row = unused(docs.columns, "row")
+    placed = stage(docs.withColumn(row, F.monotonically_increasing_id()), "placed")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(row).alias("row"))
     groups = near_duplicates(placed, width, distance, key)
-    later = groups.where("key.__row <> component_id.__row").select("key.__row")
-    return placed.join(later, "__row", "left_anti").select(docs.columns)
+    later = groups.where("key.row <> component_id.row").select(F.col("key.row").alias(row))
+    return placed.join(later, row, "left_anti").select(docs.columns)

@@ -211,17 +211,32 @@ def test_licence_scan_matches_brute_force(spark, sf_dir):
     want = set()
     for r in rows:
         for k, line in enumerate((r.text or "").split("\n")):
-            if any(g in line.lower() for g in licences.GATE):
-                z = sum((weights[g] for g in licences._grams(line) if g in weights), np.zeros(len(bias))) + bias
-                p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
-                if licences.FAMILIES[p.argmax()] != licences.UNKNOWN and p.max() >= 0.5:
-                    want.add((r.doc_id, k, licences.FAMILIES[p.argmax()]))
+            z = sum((weights[g] for g in licences._grams(line) if g in weights), np.zeros(len(bias))) + bias
+            p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+            if licences.FAMILIES[p.argmax()] != licences.UNKNOWN and p.max() >= 0.5:
+                want.add((r.doc_id, k, licences.FAMILIES[p.argmax()]))
     got = queries.op3_licence_paragraphs(spark, sf_dir).collect()
     assert {(r.doc_id, r.paragraph, r.family) for r in got} == want and len(got) == len(want)
     odd = licences.scan(docs_of(spark, [*ODD, "x\nReleased under the MIT License.", *licences.OTHER])).collect()
     assert [(r.doc_id, r.paragraph, r.family, r.confirmed) for r in odd] == [(len(ODD), 1, "MIT", True)]
 
 
+def test_licence_gate_follows_from_the_weights():
+    weights, bias, _ = licences.trained()
+    closed = set(licences.gate())
+    free = [w for g, w in weights.items() if not closed & set(g.split())]
+    # every n-gram without a gate word at once still isn't enough, for any family
+    for k in range(len(bias) - 1):
+        assert bias[k] + sum(max(0, w[k] - w[-1]) for w in free) < bias[-1]
+    assert not closed & {"the", "of", "and", "to", "in", "a", "is"}
+
+
+def test_licence_of_a_very_long_run_of_lines(spark):
+    text = "\n".join(["may not sell " + "word " * 20] * 3_000 + ["Released under the MIT License."])
+    got = licences.scan(docs_of(spark, [text])).collect()
+    assert [(r.paragraph, r.family, r.confirmed) for r in got] == [(3_000, "MIT", True)]
+
+
 def test_search_finds_the_nearest(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").collect()
     x, ids = np.array([r.embedding for r in rows], "f8"), np.array([r.vec_id for r in rows])
