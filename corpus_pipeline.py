@@ -4,31 +4,36 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gramlark.llm import near_copies, packing, pii, quality, toxicity
+from gramlark.llm import packing, pii, quality, simhash, toxicity
 from gramlark.llm.common import table
 from gramlark.llm.queries import tokenizer_path
 from gramlark.session import stage_root
 
 
+def _where(docs: DataFrame, keep: Column) -> DataFrame:
+    """The rows where ``keep`` holds, worked out once; columns of any name stay as they are."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    return docs.select(whole, keep.alias("keep")).where("keep").select("doc.*")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain doesn't call toxic."""
     chain = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    marked = docs.select("*", toxicity.predict(docs, chain)["toxic"].alias("__toxic"))
-    return marked.where("NOT __toxic").select(docs.columns)
+    return _where(docs, ~toxicity.predict(docs, chain)["toxic"])
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.3 or more by the boosted trees."""
     forest = quality.fit(docs, table(spark, sf_dir, "labels"))
-    marked = docs.select("*", quality.predict(docs, forest)["score"].alias("__score"))
-    return marked.where("__score >= 0.3").select(docs.columns)
+    return _where(docs, quality.predict(docs, forest)["score"] >= 0.3)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest ``doc_id`` of every group linked by a five-word Jaccard similarity of 0.8 or more."""
-    return near_copies.first_of_groups(docs)
+    """The smallest ``doc_id`` of every group of SimHash fingerprints linked by at most 2 differing bits."""
+    return simhash.first_of_groups(docs, width=3, distance=2)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +49,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("quality", keep_quality),
-    ("near duplicates", one_of_each_group),
+    ("SimHash near-dedup", one_of_each_group),
     ("personal data", redact),
     ("packing", pack),
 ]
