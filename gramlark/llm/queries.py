@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramlark.llm import html_text, licences, neighbours, packing, pieces, pii, quality, simhash, toxicity, vector_dedup
+from gramlark.llm import (
+    hard_negatives,
+    html_text,
+    licences,
+    neighbours,
+    packing,
+    pieces,
+    pii,
+    quality,
+    simhash,
+    toxicity,
+    vector_dedup,
+)
 from gramlark.llm.common import table
 
 
@@ -78,6 +90,11 @@ def op10_quality_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("*", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_one_bit_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -91,7 +108,31 @@ QUERIES = {
         op8_simhash_pigeonhole,
         op9_best_two_fit,
         op10_quality_boosting,
+        op11_one_bit_hard_negatives,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+OP11_SQL = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same,
+         list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM usable a JOIN usable b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INT AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3
+"""
+
+ORACLE_SQL: dict[str, str] = {"op11_one_bit_hard_negatives": OP11_SQL}
