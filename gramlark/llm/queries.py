@@ -15,6 +15,7 @@ from gramlark.llm import (
     pii,
     quality,
     simhash,
+    spelling,
     toxicity,
     vector_dedup,
 )
@@ -95,6 +96,10 @@ def op11_one_bit_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
 
 
+def op13_letter_count_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_spellings(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -109,6 +114,7 @@ QUERIES = {
         op9_best_two_fit,
         op10_quality_boosting,
         op11_one_bit_hard_negatives,
+        op13_letter_count_trie,
     )
 }
 
@@ -135,4 +141,52 @@ WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * po
 QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3
 """
 
-ORACLE_SQL: dict[str, str] = {"op11_one_bit_hard_negatives": OP11_SQL}
+# the table of CRC32 comes from its polynomial, eight halvings a byte
+OP13_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(
+    list_prepend(i::UBIGINT, list_transform(range(8), lambda k: 0::UBIGINT)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END)) AS t
+), runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+), counted AS (
+  SELECT run, hex(encode(doc_id || ':' || run)) AS x, count(*) AS n FROM runs GROUP BY ALL
+), hashed AS (
+  SELECT run, n, xor(4294967295::UBIGINT, list_reduce(
+    list_prepend(4294967295::UBIGINT, list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::UBIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::BIGINT + 1]))) AS h
+  FROM counted, crc
+), words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word,
+         sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3
+), cuts AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut
+  FROM (SELECT word, unnest(range(1, length(word) + 1))::INT AS i FROM words)
+), near AS (
+  SELECT c.word AS a, w.word AS b FROM cuts c JOIN words w ON w.word = c.cut
+  UNION SELECT w.word, c.word FROM cuts c JOIN words w ON w.word = c.cut
+  UNION SELECT x.word, y.word FROM cuts x JOIN cuts y ON x.i = y.i AND x.cut = y.cut AND x.word <> y.word
+), best AS (
+  SELECT a, b, n AS b_n, count(*) OVER (PARTITION BY a) AS many
+  FROM near JOIN words ON word = b
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY n DESC, b) = 1
+), forms AS (
+  SELECT word, n, coalesce(many, 0)::BIGINT AS n_near,
+         CASE WHEN b_n >= 2 * n THEN b END AS form, CASE WHEN b_n >= 2 * n THEN b_n END AS form_n
+  FROM words LEFT JOIN best ON word = a
+), chain AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.at WHERE f.form IS NOT NULL
+), roots AS (
+  SELECT c.word, c.at AS root FROM chain c JOIN forms f ON f.word = c.at WHERE f.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op11_one_bit_hard_negatives": OP11_SQL,
+    "op13_letter_count_trie": OP13_SQL,
+}
