@@ -33,6 +33,8 @@ def normal(pdf: pd.DataFrame) -> pd.DataFrame:
     for c in pdf.columns:
         if pdf[c].dtype.kind == "f":
             pdf[c] = pdf[c] + 0.0
+        elif pdf[c].dtype == "Int64":  # whole numbers with nulls
+            pdf[c] = pdf[c].astype("float64" if pdf[c].isna().any() else "int64")
     return pdf.sort_values(list(pdf.columns), na_position="last").reset_index(drop=True)
 
 
