@@ -9,6 +9,7 @@ from gramlark.llm import (
     hard_negatives,
     html_text,
     licences,
+    mixing,
     neighbours,
     packing,
     pieces,
@@ -96,6 +97,12 @@ def op11_one_bit_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
 
 
+def op12_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return mixing.score_texts(docs, held_out).select("doc_id", "lm.*")
+
+
 def op13_letter_count_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_spellings(table(spark, sf_dir, "documents"))
 
@@ -114,6 +121,7 @@ QUERIES = {
         op9_best_two_fit,
         op10_quality_boosting,
         op11_one_bit_hard_negatives,
+        op12_context_mixing,
         op13_letter_count_trie,
     )
 }
