@@ -1,6 +1,15 @@
 """Registered queries with their reference SQL."""
 
-from gramlark.catalog import charts, evaluation, features, models, profiles, storage  # noqa: F401
+from gramlark.catalog import (  # noqa: F401
+    charts,
+    evaluation,
+    features,
+    models,
+    outliers_more,
+    profiles,
+    storage,
+    trees,
+)
 from gramlark.catalog.base import QUERIES, Query
 
 __all__ = ["QUERIES", "Query"]
