@@ -4,6 +4,7 @@ from gramlark.catalog import (  # noqa: F401
     charts,
     evaluation,
     features,
+    kept,
     models,
     outliers_more,
     profiles,

@@ -207,3 +207,29 @@ def compare_tables(before: DataFrame, after: DataFrame) -> DataFrame:
         (F.col("processed_rows") - F.col("raw_rows")).alias("rows_added"),
         (F.col("raw_nulls") - F.col("processed_nulls")).alias("nulls_removed"),
     )
+
+
+def preprocessing_statistics(raw: DataFrame, processed: DataFrame, folds: DataFrame, target: str = TARGET) -> DataFrame:
+    """One row per table: rows, features by kind, nulls, later copies of equal rows, and the folds' mean sizes."""
+    out = None
+    for side, df in (("raw", raw), ("processed", processed)):
+        numerical = numeric_columns(df, exclude=(target,))
+        categorical = string_columns(df, exclude=(target,))
+        copies = df.groupBy(*df.columns).agg(F.count("*").alias("n_"))
+        sums = sum((F.when(F.col(c).isNull(), F.col("n_")).otherwise(0) for c in df.columns), F.lit(0))
+        one = copies.agg(
+            F.lit(side).alias("side"),
+            F.coalesce(F.sum("n_"), F.lit(0)).alias("rows"),
+            F.lit(len(numerical) + len(categorical)).cast("long").alias("features"),
+            F.lit(len(numerical)).cast("long").alias("numerical"),
+            F.lit(len(categorical)).cast("long").alias("categorical"),
+            F.coalesce(F.sum(sums), F.lit(0)).alias("nulls"),
+            F.coalesce(F.sum(F.col("n_") - 1), F.lit(0)).alias("duplicates"),
+        )
+        out = one if out is None else out.unionByName(one)
+    sizes = folds.groupBy("fold").agg(F.count("*").alias("n"))
+    mean = sizes.agg(
+        (F.sum("n") - F.avg("n")).alias("mean_train_rows"), F.avg("n").alias("mean_validation_rows")
+    )
+    one = lambda d: d.withColumn("one_", F.lit(1))
+    return one(out).join(one(mean), "one_").drop("one_")

@@ -77,3 +77,30 @@ def model_bars(summary: DataFrame) -> DataFrame:
     return summary.select(
         title_case(F.col("model")).alias("model"), "side", F.inline(F.array(*entries))
     )
+
+
+def candidate_rows(summary: DataFrame, configs: dict[str, dict[str, str]], n: int = 3, at=None) -> DataFrame:
+    """The n best models with what is needed to fit them again: score, description, parameters, time of choice.
+
+    ``configs`` maps a model to its parameters and a ``description``; it is as
+    long as the list of models, not as the data.
+    """
+    at = F.current_timestamp() if at is None else F.lit(at)
+    known = [F.struct(F.lit(m).alias("model"), _config(c).alias("config"), F.lit(c.get("description", "")).alias("description")) for m, c in configs.items()]
+    none = F.struct(F.lit("").alias("model"), _config({}).alias("config"), F.lit("").alias("description"))
+    found = F.coalesce(F.try_element_at(F.filter(F.array(none, *known), lambda k: k["model"] == F.col("model")), F.lit(-1)), none)
+    top = best_models(summary, n).withColumn("known", found)
+    return top.select(
+        "rank",
+        "model",
+        F.col("val_r2").alias("avg_r2"),
+        F.col("known.description").alias("description"),
+        F.col("known.config").alias("config"),
+        F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("selection_date"),
+    )
+
+
+def _config(parameters: dict[str, str]):
+    given = {k: str(v) for k, v in sorted(parameters.items()) if k != "description"}
+    pairs = [F.lit(x) for kv in given.items() for x in kv]
+    return (F.create_map(*pairs) if pairs else F.create_map()).cast("map<string,string>")
