@@ -198,7 +198,7 @@ def _node_matches(words: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["word", "n_near", "form", "form_n"])
 
 
-def near_words(vocab: DataFrame, node_words: int = 20_000) -> DataFrame:
+def near_words(vocab: DataFrame, node_words: int = 60_000) -> DataFrame:
     """``(word, n_near, form, form_n)`` of the words in ``(word, n)`` that have near ones.
 
     ``form`` is the near word of largest ``n``, ties to the smallest in code-point
@@ -219,7 +219,7 @@ def near_words(vocab: DataFrame, node_words: int = 20_000) -> DataFrame:
     # new names: both sides of the grouping below come from one table
     asks = vectors.select(F.col("word").alias("ask"), F.col("vector").alias("counts"), F.explode(changes).alias("change"), "n", *HALVES)
     moved = F.zip_with(F.slice("counts", 1, depth), "change", lambda a, b: a + b)
-    asks = asks.select("ask", "counts", *[F.col(c).alias(c) for c in ("n", *HALVES)], name(moved).alias("node")).join(nodes.select("node").distinct(), "node", "left_semi")
+    asks = asks.select("ask", "counts", *[F.col(c).alias(c) for c in ("n", *HALVES)], name(moved).alias("node"))
     asks = asks.select("*", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
     found = nodes.groupBy("node", "slot").cogroup(asks.groupBy("node", "slot"))
     found = found.applyInPandas(_node_matches, "word string, n_near long, form string, form_n long")
@@ -238,7 +238,7 @@ def follow(forms: DataFrame) -> DataFrame:
     return at.select("word", "root")
 
 
-def variants(vocab: DataFrame, times: int = 2, node_words: int = 20_000) -> DataFrame:
+def variants(vocab: DataFrame, times: int = 2, node_words: int = 60_000) -> DataFrame:
     """``(word, form, root, n, n_near, form_n)`` for every word of ``(word, n)``.
 
     ``form`` is the commonest near word if it occurs at least ``times`` as often
@@ -263,7 +263,7 @@ def variants(vocab: DataFrame, times: int = 2, node_words: int = 20_000) -> Data
     return out.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
-def group_spellings(docs: DataFrame, every: int = 97, letters: int = 5, least: int = 3, node_words: int = 20_000) -> DataFrame:
+def group_spellings(docs: DataFrame, every: int = 97, letters: int = 5, least: int = 3, node_words: int = 60_000) -> DataFrame:
     """``variants`` of the words in ``docs(doc_id, text)``.
 
     Words are maximal runs of Latin letters with A-Z lower-cased; see ``spelled``
