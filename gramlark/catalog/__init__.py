@@ -2,6 +2,7 @@
 
 from gramlark.catalog import (  # noqa: F401
     charts,
+    diagnostics,
     evaluation,
     features,
     kept,

@@ -11,6 +11,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from gramlark.catalog.base import q, query, rounded, staged_listing
+from gramlark.catalog.fits_sql import FILLED, TRAIN_SIDES, moments, side_metrics, solved
 from gramlark.functions.moments import gram_by, total
 from gramlark.operators import folds
 from gramlark.operators.impute import handle_missing
@@ -360,11 +361,52 @@ def out_of_fold(spark, sf):
 # -- cross-validation and search --------------------------------------------
 
 
-@query()
+_FOUR = [("linear_regression", 0, 0.0, 0.0), ("ridge_regression", 1, 0.0, 0.0), ("lasso_regression", 0, 1.0, 0.0), ("elastic_net", 0, 0.5, 0.5)]
+_CV_DIGITS = {"mse": 1, "mae": 4, "r2": 6, "rmse": 4, "mape": 4, "explained_variance": 6}
+
+
+@query(with_listing(
+    side_metrics(_CV_DIGITS), ",\n".join([FILLED, TRAIN_SIDES, moments(NUMERIC), solved(_FOUR, len(NUMERIC))]), recursive=True
+))
 def cv_four_models(spark, sf):
     """Mean and deviation of the metrics of all four models over five folds."""
     cv = search.cross_validate(complete(spark, sf), NUMERIC, TARGET)
-    return rounded(search.summarise(cv), 4)
+    return rounded(search.summarise(cv), _CV_DIGITS | {f"{m}_std": d for m, d in _CV_DIGITS.items()})
+
+
+def _all_features(models):
+    columns = ", ".join(q(f"coef[{i}]", 6) + f" AS coef_{i}" for i in range(1, len(NUMERIC) + 1))
+    body = f"SELECT grp::INTEGER AS fold, {columns}, {q('intercept', 2)} AS intercept FROM coefs"
+    return with_listing(body, ",\n".join([FILLED, TRAIN_SIDES, moments(NUMERIC), solved(models, len(NUMERIC))]), recursive=True)
+
+
+def _fit_all(spark, sf, **args):
+    grams = search.fold_grams(complete(spark, sf), NUMERIC, TARGET)
+    fits = [(int(k), fit_linear(grams.train(k), **args)) for k in grams.folds]
+    names = [f"coef_{i + 1}" for i in range(len(NUMERIC))]
+    rows = [(k, *map(float, m.coef), float(m.intercept)) for k, m in fits]
+    frame = spark.createDataFrame(rows, "fold int, " + ", ".join(f"{n} double" for n in names) + ", intercept double")
+    return rounded(frame, {**{n: 6 for n in names}, "intercept": 2})
+
+
+@query(_all_features(_FOUR[:1]))
+def fit_ols_all_features(spark, sf):
+    return _fit_all(spark, sf, model="linear_regression")
+
+
+@query(_all_features([("ridge_regression", ALPHA, 0.0, 0.0)]))
+def fit_ridge_all_features(spark, sf):
+    return _fit_all(spark, sf, model="ridge_regression", alpha=ALPHA)
+
+
+@query(_all_features([("lasso_regression", 0, ALPHA, 0.0)]))
+def fit_lasso_all_features(spark, sf):
+    return _fit_all(spark, sf, model="lasso_regression", alpha=ALPHA)
+
+
+@query(_all_features([("elastic_net", 0, ALPHA * L1, ALPHA * (1 - L1))]))
+def fit_elastic_net_all_features(spark, sf):
+    return _fit_all(spark, sf, model="elastic_net", alpha=ALPHA, l1_ratio=L1)
 
 
 def _single_cv(spark, sf):
