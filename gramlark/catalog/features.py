@@ -389,10 +389,37 @@ def nearest_centroid(spark, sf):
     return rounded(out, {"mean": 4, "std": 4, "mean_distance": 8})
 
 
-@query()
+_K, _STARTS, _SEED = 5, 10, 42
+_PARTS = "concat_ws('/', s, round(x * 1000000)::BIGINT, round(y * 1000000)::BIGINT)"
+_NEW = lambda v: "[" + ", ".join(
+    f"coalesce(sum(w * {v}) FILTER (l = {k}) / sum(w) FILTER (l = {k}), any_value(c{v})[{k}])" for k in range(1, _K + 1)) + "]"
+_APART = "[" + ", ".join(f"(x - cx[{k}]) * (x - cx[{k}]) + (y - cy[{k}]) * (y - cy[{k}])" for k in range(1, _K + 1)) + "]"
+_KMEANS = f"""
+pts AS (SELECT latitude AS x, longitude AS y, count(*)::DOUBLE AS w FROM listing WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY ALL),
+tol AS (SELECT 1e-4 * (var_pop(latitude) + var_pop(longitude)) / 2 AS tol FROM listing),
+seeds AS (SELECT s, x, y, row_number() OVER (PARTITION BY s ORDER BY md5({_PARTS}), x, y) AS r
+  FROM pts, range({_SEED}, {_SEED + _STARTS}) t(s)),
+moves AS (
+  SELECT 0 AS i, s, list(x ORDER BY r) AS cx, list(y ORDER BY r) AS cy, false AS done FROM seeds WHERE r <= {_K} GROUP BY s
+  UNION ALL
+  SELECT i + 1, s, nx, ny, list_sum(list_transform(nx, lambda v, k: (v - cx[k]) ** 2 + (ny[k] - cy[k]) ** 2)) <= tol
+  FROM tol, (SELECT i, s, any_value(cx) AS cx, any_value(cy) AS cy, {_NEW('x')} AS nx, {_NEW('y')} AS ny
+    FROM (SELECT *, list_position(d, list_min(d)) AS l FROM (SELECT i, s, cx, cy, x, y, w, {_APART} AS d FROM moves, pts WHERE NOT done AND i < 300))
+    GROUP BY i, s)),
+ends AS (SELECT s, arg_max(cx, i) AS cx, arg_max(cy, i) AS cy FROM moves GROUP BY s),
+best AS (SELECT s, cx, cy FROM (SELECT s, any_value(cx) AS cx, any_value(cy) AS cy, sum(w * list_min({_APART})) AS cost FROM ends, pts GROUP BY s)
+  ORDER BY cost, s LIMIT 1)"""
+
+
+@query(with_listing(f"""
+SELECT geo_cluster, count(*) AS "rows", {q('avg(d)', 4)} AS mean_distance, {q(f'avg({TARGET})', 4)} AS cluster_mean_value,
+       {q(f'stddev_samp({TARGET})', 4)} AS cluster_std_value
+FROM (SELECT {TARGET}, sqrt(list_min(d)) AS d, (list_position(d, list_min(d)) - 1)::INTEGER AS geo_cluster
+      FROM (SELECT {TARGET}, {_APART} AS d FROM (SELECT latitude AS x, longitude AS y, {TARGET} FROM listing), best))
+GROUP BY 1""", _KMEANS, recursive=True))
 def geo_clusters(spark, sf):
     df = staged_listing(spark, sf, ["latitude", "longitude", TARGET])
-    out = cluster.GeoClusters(n_init=2).fit(df).transform(df)
+    out = cluster.GeoClusters(k=_K, seed=_SEED, n_init=_STARTS).fit(df).transform(df)
     per = out.groupBy("geo_cluster").agg(
         F.count("*").alias("rows"), F.avg("geo_cluster_distance").alias("mean_distance"),
         F.first("cluster_mean_value").alias("cluster_mean_value"),
@@ -401,10 +428,18 @@ def geo_clusters(spark, sf):
     return rounded(per, 4)
 
 
-@query()
+@query(with_listing(f"""
+SELECT sum(w)::BIGINT AS "rows", {q('sum(w * CASE WHEN n = w THEN 0 ELSE (b - a) / greatest(a, b) END) / sum(w)', 6)} AS silhouette
+FROM (SELECT w, any_value(n) FILTER (own) AS n, any_value(m * n / nullif(n - w, 0)) FILTER (own) AS a, min(m) FILTER (NOT own) AS b
+  FROM (SELECT x, y, w, g.n, g.l = p.l AS own, x * x + y * y - 2 * (x * g.mx + y * g.my) + g.q AS m FROM labelled p, per g) GROUP BY x, y, w)""",
+    _KMEANS + f""",
+labelled AS (SELECT x, y, w, list_position(d, list_min(d)) AS l FROM (
+  SELECT x - 35 AS x, y + 120 AS y, w, d FROM (SELECT x, y, w, {_APART} AS d FROM pts, best))),
+per AS (SELECT l, sum(w) AS n, sum(w * x) / sum(w) AS mx, sum(w * y) / sum(w) AS my, sum(w * (x * x + y * y)) / sum(w) AS q
+  FROM labelled GROUP BY l)""", recursive=True))
 def cluster_silhouette(spark, sf):
     df = staged_listing(spark, sf, ["latitude", "longitude"])
-    value = cluster.silhouette(df, cluster.GeoClusters(n_init=1).fit(df))
+    value = cluster.silhouette(df, cluster.GeoClusters(k=_K, seed=_SEED, n_init=_STARTS).fit(df))
     return df.agg(F.count("*").alias("rows"), F.round(F.lit(value), 6).alias("silhouette"))
 
 
@@ -467,7 +502,7 @@ def select_hybrid(spark, sf):
 
 
 def _flow(**kw):
-    return FeatureFlow(cluster_starts=1, **kw)
+    return FeatureFlow(**kw)
 
 
 @query()

@@ -2,6 +2,8 @@
 
 Equal coordinates are counted first and clustered once with their count as a
 weight, which gives the same centres and shrinks the data the iterations read.
+All starts move together: a pass over the points gives the sums of every cluster
+of every start that still moves, so ten starts need the passes of the slowest.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml.clustering import KMeans, KMeansModel
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
@@ -43,11 +45,68 @@ def nearest_center(columns: list[str], centers: np.ndarray):
     return label, best
 
 
+def first_centers(points: DataFrame, columns: list[str], k: int, starts: int, seed: int) -> list[np.ndarray]:
+    """Per start the ``k`` points with the smallest hash of the start and the point's millionths.
+
+    Only hashes below a bound that about 64 points of a start meet are fetched;
+    the bound is raised until every start has its points.
+    """
+    count = points.count()
+    if not count:
+        raise ValueError("no complete points to cluster")
+    k, wanted = min(k, count), 16 * k
+    parts = [F.round(F.col(c) * 1_000_000).cast("bigint").cast("string") for c in columns]
+    each = points.withColumn("start", F.explode(F.sequence(F.lit(seed), F.lit(seed + starts - 1))))
+    each = each.withColumn("h", F.md5(F.concat_ws("/", F.col("start").cast("string"), *parts)))
+    while True:
+        bound = min(1.0, wanted / count)
+        near = each if bound == 1.0 else each.where(F.col("h") < f"{int(bound * 2**64):016x}")
+        rows: dict[int, list] = {seed + i: [] for i in range(starts)}
+        for r in near.select("start", "h", *columns).collect():
+            rows[r.start].append(tuple(r)[1:])
+        if bound == 1.0 or min(map(len, rows.values())) >= k:
+            return [np.array([r[1:] for r in sorted(found)[:k]]) for found in rows.values()]
+        wanted *= 16
+
+
+def _move(points: DataFrame, columns: list[str], centers: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """Per start ``[cluster, (rows, sums of the columns, squared distances)]`` under its centres, in one pass."""
+
+    def fold(batches):
+        sums = {s: np.zeros((len(c), len(columns) + 2)) for s, c in centers.items()}
+        for batch in batches:
+            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(columns) + 1)])
+            x, w = x[:, :-1], x[:, -1]
+            for s, c in centers.items():
+                d = sum((x[:, [j]] - c[:, j]) ** 2 for j in range(len(columns)))
+                near = d.argmin(axis=1)
+                cells = [w, *(x * w[:, None]).T, d[np.arange(len(d)), near] * w]
+                sums[s] += np.column_stack([np.bincount(near, v, len(c)) for v in cells])
+        rows = [(s, m.ravel().tolist()) for s, m in sums.items()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([s for s, _ in rows], pa.int32()), pa.array([m for _, m in rows], pa.list_(pa.float64()))], names=["s", "cells"]
+        )
+
+    cells = points.select(*columns, "weight").mapInArrow(fold, "s int, cells array<double>")
+    out = {s: np.zeros((len(c), len(columns) + 2)) for s, c in centers.items()}
+    for r in cells.select("s", F.posexplode("cells").alias("at", "v")).groupBy("s", "at").agg(F.sum("v").alias("v")).collect():
+        out[r.s].flat[r["at"]] = r.v
+    return out
+
+
 @dataclass
 class GeoClusters:
+    """k-means from ``n_init`` starts, the one with the smallest squared distances is kept.
+
+    A start ends when its centres move, in squares, by no more than ``tol`` of
+    the coordinates' mean variance.  A cluster without points keeps its centre.
+    """
+
     k: int = 5
     seed: int = 42
     n_init: int = 10
+    max_iter: int = 300
+    tol: float = 1e-4
     target: str = TARGET
     columns: list[str] = field(default_factory=lambda: list(COORDINATES))
     centers: np.ndarray | None = None
@@ -55,16 +114,26 @@ class GeoClusters:
     cost: float = float("inf")
 
     def fit(self, df: DataFrame) -> "GeoClusters":
-        # staged, not cached: each fit caches its own instances in the form it iterates over
         points = weighted_points(df, self.columns, restage=True)
-        best: KMeansModel | None = None
-        for i in range(max(1, self.n_init)):
-            model = KMeans(
-                k=self.k, seed=self.seed + i, featuresCol="x", weightCol="weight"
-            ).fit(points)
-            if best is None or model.summary.trainingCost < self.cost:
-                best, self.cost = model, model.summary.trainingCost
-        self.centers = np.array(best.clusterCenters())
+        spread = points.agg(*[
+            (F.sum(F.expr(f"weight * `{c}` * `{c}`")) / F.sum("weight") - (F.sum(F.expr(f"weight * `{c}`")) / F.sum("weight")) ** 2).alias(f"v{i}")
+            for i, c in enumerate(self.columns)
+        ]).first()
+        starts = first_centers(points, self.columns, self.k, max(1, self.n_init), self.seed)
+        limit = self.tol * max(0.0, float(np.mean([v or 0.0 for v in spread])))
+        centers, moving = dict(enumerate(starts)), set(range(len(starts)))
+        for _ in range(self.max_iter):
+            for s, m in _move(points, self.columns, {s: centers[s] for s in sorted(moving)}).items():
+                rows = m[:, [0]]
+                new = np.where(rows > 0, m[:, 1:-1] / np.maximum(rows, 1e-300), centers[s])
+                if ((new - centers[s]) ** 2).sum() <= limit:
+                    moving.discard(s)
+                centers[s] = new
+            if not moving:
+                break
+        costs = {s: float(m[:, -1].sum()) for s, m in _move(points, self.columns, centers).items()}
+        best = min(costs, key=costs.get)
+        self.centers, self.cost = centers[best], costs[best]
         if self.target in df.columns:
             self.stats = {
                 r["geo_cluster"]: (r["mean"], r["std"], r["count"])
