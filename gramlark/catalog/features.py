@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gramlark.catalog.base import long_cte, q, query, rounded, staged_listing
+from gramlark.catalog.fits_sql import ALL_ROWS, FILLED, eliminated, moments
 from gramlark.functions.moments import gram_by
 from gramlark.operators import cluster, derive, encode, outliers, scale, select
 from gramlark.operators.impute import Imputer, handle_missing
@@ -485,7 +486,13 @@ def _complete(spark, sf):
     return handle_missing(df, "median", indicators=False)
 
 
-@query()
+_LEFT = " UNION ALL ".join(
+    f"SELECT {k}::INTEGER AS k, unnest(range(1, {k + 1}))::INTEGER AS position, unnest(f) AS f FROM left{len(NUMERIC) - k}" for k in (6, 4, 2)
+)
+
+
+@query(with_listing(f"""SELECT k, position, [{", ".join(f"'{c}'" for c in NUMERIC)}][f] AS "column" FROM ({_LEFT})""",
+    ",\n".join([FILLED, ALL_ROWS, moments(NUMERIC), eliminated(NUMERIC, 2)]), recursive=True))
 def select_by_elimination(spark, sf):
     gram = gram_by(_complete(spark, sf), NUMERIC, TARGET)[0]
     rows = [(k, i + 1, c) for k in (6, 4, 2) for i, c in enumerate(select.eliminate(gram, k))]

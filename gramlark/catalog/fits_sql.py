@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from gramlark.catalog.base import q
 from gramlark.schema import NUMERIC, TARGET
 
@@ -80,3 +82,23 @@ SELECT model, side, {rounds}, arg_max(fold, r2) AS best_fold, count(*) AS folds
     FROM (SELECT model, grp, CASE WHEN fold = grp THEN 'validation' ELSE 'train' END AS side, {TARGET} AS y,
             {TARGET} - ({prediction()}) AS e FROM filled CROSS JOIN coefs)
     GROUP BY ALL)) GROUP BY model, side"""
+
+
+def renamed(sql: str, suffix: str) -> str:
+    """The same CTEs under other names, so that two kinds of fit can stand in one query."""
+    return re.sub(r"\b(cov|mom|gj|cd|pen|betas|coefs)\b(?!\()", rf"\1{suffix}", sql)
+
+
+def eliminated(names: list[str], until: int) -> str:
+    """``left0``, ``left1``, ...: the features left after dropping the smallest raw weight again and again."""
+    ctes = [f"left0 AS (SELECT range(1, {len(names) + 1}) AS f)"]
+    for t in range(len(names) - until):
+        size = len(names) - t
+        ctes.append(f"""gj{t} AS (
+  SELECT 1 AS k, list_transform(f, lambda i: list_append(list_transform(f, lambda j: g[i][j]), c[i])) AS a FROM left{t}, mom
+  UNION ALL
+  SELECT k + 1, list_transform(a, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda x: x / r[k])
+    ELSE list_transform(r, lambda x, j: x - r[k] * a[k][j] / a[k][k]) END) FROM gj{t} WHERE k <= {size}),
+weight{t} AS (SELECT list_transform(a, lambda r, i: (r[{size + 1}] / sd[f[i]]) ** 2) AS w, f FROM gj{t}, left{t}, mom WHERE k = {size + 1}),
+left{t + 1} AS (SELECT list_filter(f, lambda x, i: i <> list_position(w, list_min(w))) AS f FROM weight{t})""")
+    return ",\n".join(ctes)

@@ -11,7 +11,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from gramlark.catalog.base import q, query, rounded, staged_listing
-from gramlark.catalog.fits_sql import FILLED, TRAIN_SIDES, moments, side_metrics, solved
+from gramlark.catalog.fits_sql import FILLED, TRAIN_SIDES, moments, prediction, renamed, side_metrics, solved
 from gramlark.functions.moments import gram_by, total
 from gramlark.operators import folds
 from gramlark.operators.impute import handle_missing
@@ -490,7 +490,25 @@ def grid_search_ridge(spark, sf):
     return rounded(frame.drop("model", "l1_ratio"), {"mse": 0, "mse_std": 0})
 
 
-@query()
+def _grid_all_sql():
+    """Validation error of every candidate on all features; a model's name carries its parameters."""
+    fits = []
+    for m in MODELS:
+        for i, p in enumerate(search.candidates(m)):
+            alpha, share = p.get("alpha", 0.0), p.get("l1_ratio", 1.0)
+            walked = m in ("lasso_regression", "elastic_net")
+            name = f"{m}/{i}/{alpha if p else ''}/{p.get('l1_ratio', '')}"
+            fits.append((name, 0 if walked else alpha, alpha * share if walked else 0.0, alpha * (1 - share) if walked else 0.0))
+    ctes = [FILLED, TRAIN_SIDES, moments(NUMERIC, scaled=False), solved(fits, len(NUMERIC))]
+    ctes.append(f"""tries AS (SELECT model, avg(mse) AS mse FROM (
+  SELECT model, grp, avg(({TARGET} - ({prediction()})) ** 2) AS mse FROM filled JOIN coefs ON fold = grp GROUP BY ALL) GROUP BY model)""")
+    part = lambda i: f"nullif(split_part(arg_min(model, mse), '/', {i}), '')::DOUBLE"
+    body = f"""SELECT split_part(model, '/', 1) AS model, count(*) AS candidates, {q('min(mse)', 0)} AS best_mse,
+  {part(3)} AS alpha, {part(4)} AS l1_ratio FROM tries GROUP BY split_part(model, '/', 1)"""
+    return with_listing(body, ",\n".join(ctes), recursive=True)
+
+
+@query(_grid_all_sql())
 def grid_search_all(spark, sf):
     """Best candidate of each model's full grid on all eight features."""
     grams = search.fold_grams(complete(spark, sf), NUMERIC, TARGET)
@@ -578,14 +596,31 @@ def learning_curve_bands(spark, sf):
     return rounded(out.drop("model"), {"mean_rows": 4, "train_mean": 0, "train_std": 0, "val_mean": 0, "val_std": 0})
 
 
-@query()
+def _conventions_sql():
+    ctes, sides = [FILLED, TRAIN_SIDES], []
+    for name, scaled in (("standardized", True), ("raw", False)):
+        fits = moments(NUMERIC, scaled) + ",\n" + solved(_FOUR, len(NUMERIC))
+        ctes.append(renamed(fits, f"_{name}"))
+        metrics = renamed(side_metrics(dict.fromkeys(_CV_DIGITS, 12)), f"_{name}")
+        ctes.append(f"""{name}_rows AS (SELECT model, metric, v AS {name} FROM (SELECT model, {", ".join(_CV_DIGITS)} FROM ({metrics}) WHERE side = 'validation')
+  UNPIVOT (v FOR metric IN ({", ".join(_CV_DIGITS)})))""")
+    value = lambda v: "CASE metric " + " ".join(f"WHEN '{m}' THEN {q(v, d)}" for m, d in _CV_DIGITS.items()) + " END"
+    body = f"""SELECT model, metric, {value('standardized')} AS standardized, {value('raw')} AS raw, {value('standardized - raw')} AS gap
+FROM standardized_rows JOIN raw_rows USING (model, metric)"""
+    return with_listing(body, ",\n".join(ctes), recursive=True)
+
+
+@query(_conventions_sql())
 def compare_conventions(spark, sf):
     """The four models under both penalty conventions, with the metric gap."""
     df = complete(spark, sf)
     grams = search.fold_grams(df, NUMERIC, TARGET)
     one = search.cross_validate(df, NUMERIC, TARGET, grams=grams)
     two = search.cross_validate(df, NUMERIC, TARGET, grams=grams, convention="raw")
-    return rounded(search.compare_implementations(one, two), 4)
+    out = search.compare_implementations(one, two)
+    digits = F.expr("CASE metric " + " ".join(f"WHEN '{m}' THEN {d}" for m, d in _CV_DIGITS.items()) + " END")
+    whole = {c: sum((F.when(digits == d, F.round(c, d)).otherwise(0.0) for d in sorted(set(_CV_DIGITS.values()))), F.lit(0.0)) for c in ("standardized", "raw", "gap")}
+    return out.withColumns(whole)
 
 
 @query()
