@@ -409,7 +409,7 @@ moves AS (
     GROUP BY i, s)),
 ends AS (SELECT s, arg_max(cx, i) AS cx, arg_max(cy, i) AS cy FROM moves GROUP BY s),
 best AS (SELECT s, cx, cy FROM (SELECT s, any_value(cx) AS cx, any_value(cy) AS cy, sum(w * list_min({_APART})) AS cost FROM ends, pts GROUP BY s)
-  ORDER BY cost, s LIMIT 1)"""
+  QUALIFY cost <= min(cost) OVER () * (1 + 1e-9) ORDER BY s LIMIT 1)"""
 
 
 @query(with_listing(f"""

@@ -375,7 +375,8 @@ def cv_four_models(spark, sf):
 
 
 def _all_features(models):
-    columns = ", ".join(q(f"coef[{i}]", 6) + f" AS coef_{i}" for i in range(1, len(NUMERIC) + 1))
+    # the walk ends by the change of its loss, which leaves later digits of a weight open
+    columns = ", ".join(q(f"coef[{i}]", 4) + f" AS coef_{i}" for i in range(1, len(NUMERIC) + 1))
     body = f"SELECT grp::INTEGER AS fold, {columns}, {q('intercept', 2)} AS intercept FROM coefs"
     return with_listing(body, ",\n".join([FILLED, TRAIN_SIDES, moments(NUMERIC), solved(models, len(NUMERIC))]), recursive=True)
 
@@ -386,7 +387,7 @@ def _fit_all(spark, sf, **args):
     names = [f"coef_{i + 1}" for i in range(len(NUMERIC))]
     rows = [(k, *map(float, m.coef), float(m.intercept)) for k, m in fits]
     frame = spark.createDataFrame(rows, "fold int, " + ", ".join(f"{n} double" for n in names) + ", intercept double")
-    return rounded(frame, {**{n: 6 for n in names}, "intercept": 2})
+    return rounded(frame, {**{n: 4 for n in names}, "intercept": 2})
 
 
 @query(_all_features(_FOUR[:1]))

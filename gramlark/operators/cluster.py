@@ -132,7 +132,8 @@ class GeoClusters:
             if not moving:
                 break
         costs = {s: float(m[:, -1].sum()) for s, m in _move(points, self.columns, centers).items()}
-        best = min(costs, key=costs.get)
+        # starts that end in the same clusters differ by rounding only: the first of them
+        best = min(s for s in costs if costs[s] <= min(costs.values()) * (1 + 1e-9))
         self.centers, self.cost = centers[best], costs[best]
         if self.target in df.columns:
             self.stats = {
