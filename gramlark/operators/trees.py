@@ -1,9 +1,11 @@
 """Regression trees grown level by level: random forests and gradient boosting.
 
-Columns are binned once at exact quantiles and written down.  A level of all
-trees of a forest is one pass: each task sums weight and target per tree, node,
-feature and bin, and Spark adds these histograms up.  The driver sees only the
-sums, whose size follows from trees, depth and bins, never from the rows.
+Columns are binned once at exact quantiles and written down, a row's bins as one
+binary value.  A level of all trees of a forest is one pass: each task sums weight
+and target per tree, node, bin and feature that the node may split on, and Spark
+adds these histograms up.  They hold the sums of both sides of every split, so the
+last level needs no pass.  The driver sees only the sums, whose size follows from
+trees, depth and bins, never from the rows.
 Targets are whole numbers of small steps, so sums are exact and the same trees
 come out at any layout of the data.
 """
@@ -14,12 +16,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gramlark.functions.quantiles import quantile_map
-from gramlark.session import stage
+from gramlark.session import release, stage
 
 STEPS = 1 << 24  # steps of the target's largest distance from its mean
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -37,16 +39,23 @@ class Tree:
     value: np.ndarray
 
     def nodes(self, bins: np.ndarray, depth: int) -> np.ndarray:
-        """Node of every row after ``depth`` steps; rows that reached a leaf stay there."""
+        """Node of every row at level ``depth``; below a leaf rows go left."""
+        feature = np.maximum(self.feature, 0)
+        cut = np.where(self.feature < 0, np.iinfo("int64").max, self.cut)
+        flat, start = bins.ravel(), np.arange(len(bins)) * bins.shape[1]
         at = np.zeros(len(bins), "int64")
-        every = np.arange(len(bins))
         for _ in range(depth):
-            f = self.feature[at]
-            down = f >= 0
-            right = bins[every, np.maximum(f, 0)] > self.cut[at]
-            at = np.where(down, 2 * at + 1 + right, at)
+            at = 2 * at + 1 + (flat.take(start + feature.take(at)) > cut.take(at))
         return at
 
+    def handed_down(self) -> np.ndarray:
+        """The nodes' values, those of leaves also below them."""
+        value = self.value.copy()
+        for i in range(len(value) // 2):
+            if self.feature[i] < 0:
+                value[2 * i + 1] = value[i]
+        return value
+
 
 @dataclass(frozen=True)
 class Ensemble:
@@ -84,14 +93,6 @@ def quantile_edges(df: DataFrame, columns: list[str], bins: int) -> dict[str, li
     return {c: sorted(set(found.get(c) or [])) for c in columns}
 
 
-def _bin(name: str, edges: list[float]) -> Column:
-    """0 for nulls, else one more than the edges below the value."""
-    if not edges:
-        return F.when(F.col(name).isNull() | F.isnan(name), F.lit(0)).otherwise(F.lit(1))
-    below = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e < F.col(name)))
-    return F.when(F.col(name).isNull() | F.isnan(name), F.lit(0)).otherwise(below + 1)
-
-
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * MIX_A
     h = (h ^ (h >> np.uint64(27))) * MIX_B
@@ -103,7 +104,13 @@ def draws(hashes: np.ndarray, tree: int, seed: int) -> np.ndarray:
     salt = np.uint64(((tree + 1) * 0x9E3779B97F4A7C15 + seed) % 2**64)
     u = (_mixed(hashes.astype("int64").view("u8") + salt) >> np.uint64(11)) / 2.0**53
     cdf = np.cumsum(np.exp(-1.0) / np.concatenate([[1.0], np.cumprod(np.arange(1.0, 13.0))]))
-    return np.searchsorted(cdf, u, side="right")
+    out = np.zeros(len(u), "int64")
+    for c in cdf:  # the steps at or below u; few rows meet the later ones
+        above = u >= c
+        if not above.any():
+            break
+        out += above
+    return out
 
 
 def _offered(n: int, share: float, tree: int, node: int, seed: int) -> np.ndarray:
@@ -113,15 +120,15 @@ def _offered(n: int, share: float, tree: int, node: int, seed: int) -> np.ndarra
     return np.sort(np.argsort(h, kind="stable")[:many])
 
 
-def best_split(weight: np.ndarray, total: np.ndarray, features: np.ndarray, least: int) -> tuple[int, int] | None:
-    """(feature, bin) of the split that lowers the squared error most; ties to the first feature, then the lowest bin.
+def best_split(weight: np.ndarray, total: np.ndarray, least: int) -> tuple[int, int] | None:
+    """(row, bin) of the split that lowers the squared error most; ties to the first row, then the lowest bin.
 
-    ``weight`` and ``total`` are sums per [feature, bin]; both sides keep at
+    ``weight`` and ``total`` are sums per [feature offered, bin]; both sides keep at
     least ``least`` weight.
     """
     n, s = weight[0].sum(), float(total[0].sum())
     best, found = s * s / n * (1 + 1e-12) if n else 0.0, None
-    for f in features:
+    for f in range(len(weight)):
         left, lt = weight[f].cumsum()[:-1], total[f].cumsum()[:-1].astype("float64")
         right, rt = n - left, s - lt
         ok = (left >= least) & (right >= least)
@@ -129,62 +136,137 @@ def best_split(weight: np.ndarray, total: np.ndarray, features: np.ndarray, leas
             gain = np.where(ok, lt**2 / np.maximum(left, 1) + rt**2 / np.maximum(right, 1), -1.0)
             at = int(gain.argmax())
             if gain[at] > best:
-                best, found = gain[at], (int(f), at)
+                best, found = gain[at], (f, at)
     return found
 
 
+def _kind(bins: int) -> str:
+    return "u1" if bins < 256 else "<u4"
+
+
+def _packed(binned: DataFrame, bins: int, hashes: bool) -> DataFrame:
+    """``(x binary, y[, h])`` written down: a row's bins in one value of fixed size."""
+    kept = ["y", "h"] if hashes else ["y"]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).astype(_kind(bins))
+                ends = np.arange(batch.num_rows + 1, dtype="i4") * (x.nbytes // batch.num_rows)
+                cells = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(ends), pa.py_buffer(x)])
+                yield pa.RecordBatch.from_arrays([cells, *batch.columns[1:]], names=["x", *kept])
+
+    schema = ", ".join(["x binary", *[f"{c} long" for c in kept]])
+    return stage(binned.select("bins", *kept).mapInArrow(pack, schema), "binned")
+
+
+def _unpacked(batch: pa.RecordBatch, bins: int) -> np.ndarray:
+    """``[row, feature]`` bins of a batch with rows."""
+    cells = batch.column(0).cast(pa.binary())
+    ends = np.frombuffer(cells.buffers()[1], "i4")[cells.offset : cells.offset + len(cells) + 1]
+    x = np.frombuffer(cells.buffers()[2], "u1")[ends[0] : ends[-1]]
+    return x.view(_kind(bins)).reshape(len(cells), -1)
+
+
 def grow(binned: DataFrame, trees: int, depth: int, bins: int, least: int, bootstrap: bool, share: float, seed: int) -> list[Tree]:
     """Trees of at most ``depth`` levels on ``binned(bins array, y long, h long)``; one pass per level for all of them."""
-    n_features = len(binned.first()["bins"]) if not binned.isEmpty() else 0
+    first = binned.first()
+    n_features = len(first["bins"]) if first else 0
+    packed = _packed(binned, bins, bootstrap) if n_features else None
+    return _grow(packed, n_features, trees, depth, bins, least, bootstrap, share, seed)
+
+
+def _grow(
+    packed: DataFrame | None, n_features: int, trees: int, depth: int, bins: int, least: int, bootstrap: bool, share: float, seed: int
+) -> list[Tree]:
     size = 2 ** (depth + 1) - 1
     out = [Tree(np.full(size, -1), np.zeros(size, "int64"), np.zeros(size)) for _ in range(trees)]
     if not n_features:
         return out
     width = bins + 1
-    for level in range(depth + 1):
-        grown, first = out, 2**level - 1
-
-        def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            cells = np.zeros((trees, 2**level, 2, n_features, width), "int64")
-            for pdf in batches:
-                x, y = np.stack(pdf["bins"].to_numpy()), pdf["y"].to_numpy("int64")
+    for level in range(max(1, depth)):
+        grown, many = out, 2**level
+        offered = np.array([[_offered(n_features, share, t, many - 1 + k, seed) for k in range(many)] for t in range(trees)])
+        slots = offered.shape[2]
+        # nodes below a leaf are not told
+        told = np.array([[not level or tree.feature[(many - 2 + k) // 2] >= 0 for k in range(many)] for tree in out])
+        if not told.any():
+            break
+
+        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            cells = np.zeros((trees, 2, slots, many * width), "int64")
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                all_x, all_y = _unpacked(batch, bins), batch.column(1).to_numpy().astype("float64")
+                hashes = batch.column(2).to_numpy() if bootstrap else None
+                x, y, w = all_x, all_y, None
                 for t, tree in enumerate(grown):
-                    w = draws(pdf["h"].to_numpy("int64"), t, seed) if bootstrap else np.ones(len(y), "int64")
-                    node = tree.nodes(x, level) - first
-                    use = (node >= 0) & (w > 0)
-                    for f in range(n_features):
-                        at = node[use] * width + x[use, f]
-                        for k, v in enumerate((w[use], (w * y)[use])):  # below 2^53 for a batch, so exact
-                            got = np.bincount(at, v, 2**level * width).astype("int64")
-                            cells[t, :, k, f] += got.reshape(2**level, width)
-            t, node = np.nonzero(cells[:, :, 0, 0].sum(axis=2))
+                    if bootstrap:
+                        drawn = draws(hashes, t, seed)
+                        use = np.flatnonzero(drawn)
+                        w = drawn.take(use).astype("float64")
+                        x, y = all_x.take(use, axis=0), all_y.take(use) * w
+                    node = tree.nodes(x, level) - (many - 1)
+                    flat, start = x.ravel(), np.arange(len(x)) * n_features
+                    for k in range(slots):
+                        own = x[:, k] if slots == n_features else flat.take(start + offered[t, :, k].take(node))
+                        at = node * width + own
+                        # sums of a batch are below 2^53, so exact
+                        cells[t, 0, k] += np.bincount(at, w, many * width).astype("int64")
+                        cells[t, 1, k] += np.bincount(at, y, many * width).astype("int64")
+            per = np.moveaxis(cells.reshape(trees, 2, slots, many, width), 3, 1)
+            t, node = np.nonzero(told & (per[:, :, 0, 0].sum(axis=2) > 0))
             if len(t):
-                yield pd.DataFrame({"t": t, "node": node, "cells": [cells[a, b].ravel() for a, b in zip(t, node)]})
+                flat = [per[a, b].ravel() for a, b in zip(t, node)]
+                parts = [pa.array(t, pa.int32()), pa.array(node, pa.int32()), pa.array(flat, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(parts, names=["t", "node", "cells"])
 
-        parts = binned.select("bins", "y", "h").mapInPandas(sums, "t int, node int, cells array<long>")
+        parts = packed.mapInArrow(sums, "t int, node int, cells array<long>").repartition("t", "node")
         parts = parts.select("t", "node", F.posexplode("cells").alias("place", "v")).groupBy("t", "node", "place")
         added = parts.agg(F.sum("v").alias("v")).groupBy("t", "node")
         added = added.agg(F.sort_array(F.collect_list(F.struct("place", "v")))["v"].alias("cells"))  # bounded: 2 x features x bins
-        for r in added.toLocalIterator():
-            weight, total = np.array(r.cells, "int64").reshape(2, n_features, width)
-            tree, node = out[r.t], first + r.node
-            tree.value[node] = total[0].sum() / weight[0].sum()
-            split = best_split(weight, total, _offered(n_features, share, r.t, node, seed), least) if level < depth else None
+        for r in added.collect():  # one row per tree and node
+            weight, total = np.array(r.cells, "int64").reshape(2, slots, width)
+            tree, node = out[r.t], many - 1 + r.node
+            if not level:
+                tree.value[node] = total[0].sum() / weight[0].sum()
+            split = best_split(weight, total, least) if level < depth else None
             if split:
-                tree.feature[node], tree.cut[node] = split
+                k, cut = split
+                tree.feature[node], tree.cut[node] = offered[r.t, r.node, k], cut
+                for child, side in ((2 * node + 1, slice(0, cut + 1)), (2 * node + 2, slice(cut + 1, None))):
+                    n = weight[k, side].sum()
+                    tree.value[child] = total[k, side].sum() / n if n else 0.0
     return out
 
 
 def _prepared(df: DataFrame, columns: list[str], target: str, key: str, bins: int, edges=None) -> tuple[DataFrame, dict, float, float]:
-    """``(bins, y, h)`` written down, the edges, and the target's mean and step."""
+    """``(bins, y, h)``, the edges, and the target's mean and step.
+
+    A column's bin is 0 for nulls, else one more than the edges below the value.
+    """
     rows = df.where(F.col(target).isNotNull() & ~F.isnan(F.col(target).cast("double")))
     edges = edges or quantile_edges(rows, columns, bins)
     mean, low, high = rows.agg(F.avg(target), F.min(target), F.max(target)).first()
     mean = float(mean or 0.0)
     step = (max(float(high) - mean, mean - float(low)) if high is not None else 0.0) / STEPS or 1.0
     y = F.round((F.col(target).cast("double") - F.lit(mean)) / F.lit(step)).cast("long")
-    binned = rows.select(F.array(*[_bin(c, edges[c]) for c in columns]).alias("bins"), y.alias("y"), F.xxhash64(key).alias("h"))
-    return stage(binned, "binned"), edges, mean, step
+    cuts = [np.array(edges[c], "float64") for c in columns]
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.zeros((batch.num_rows, len(cuts)), "int32")
+            for k, cut in enumerate(cuts):
+                v = batch.column(k + 2).to_numpy(zero_copy_only=False).astype("float64", copy=False)
+                x[:, k] = np.where(np.isnan(v), 0, 1 + np.searchsorted(cut, v, side="left"))
+            ends = pa.array(np.arange(len(x) + 1, dtype="i4") * len(cuts))
+            parts = [pa.ListArray.from_arrays(ends, pa.array(x.ravel())), *batch.columns[:2]]
+            yield pa.RecordBatch.from_arrays(parts, names=["bins", "y", "h"])
+
+    typed = [F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(columns)]
+    binned = rows.select(y.alias("y"), F.xxhash64(key).alias("h"), *typed)
+    return binned.mapInArrow(place, "bins array<int>, y long, h long"), edges, mean, step
 
 
 def _scaled(trees: list[Tree], step: float) -> list[Tree]:
@@ -224,22 +306,24 @@ def boosted_trees(
     least: int = 1,
     rate: float = 0.1,
 ) -> Ensemble:
-    """Each tree is fitted to what the ones before leave; residuals are kept as a written column between rounds."""
+    """Each tree is fitted to what the ones before leave; residuals are written down between rounds, and the ones before deleted."""
     binned, edges, mean, step = _prepared(df, columns, target, key, bins)
+    packed = _packed(binned, bins, False)
     out: list[Tree] = []
     for k in range(rounds):
-        tree = grow(binned, 1, depth, bins, least, False, 1.0, 0)[0]
+        tree = _grow(packed, len(columns), 1, depth, bins, least, False, 1.0, 0)[0]
         out.append(tree)
         if k + 1 < rounds:
+            fitted = np.rint(rate * tree.handed_down()).astype("int64")
 
-            @F.pandas_udf("long")
-            def left(x: pd.Series, y: pd.Series) -> pd.Series:
-                if not len(y):
-                    return y
-                node = tree.nodes(np.stack(x.to_numpy()), depth)
-                return pd.Series(y.to_numpy("int64") - np.rint(rate * tree.value[node]).astype("int64"))
+            def left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    if batch.num_rows:
+                        y = batch.column(1).to_numpy() - fitted.take(tree.nodes(_unpacked(batch, bins), depth))
+                        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(y)], names=["x", "y"])
 
-            binned = stage(binned.select("bins", left("bins", "y").alias("y"), "h"), "residuals")
+            done, packed = packed, stage(packed.mapInArrow(left, "x binary, y long"), "residuals")
+            release(done)
     return Ensemble(columns, edges, _scaled(out, step), mean, rate)
 
 

@@ -62,13 +62,22 @@ def stage(df: DataFrame, name: str = "table") -> DataFrame:
     df.write.parquet(path)
     _STAGED.append(path)
     out = spark.read.schema(df.schema).parquet(path)
-    out._gramlark_staged = True
+    out._gramlark_staged = path
     return out
 
 
 def is_staged(df: DataFrame) -> bool:
     """True for a table returned by ``stage`` (not for frames derived from it)."""
-    return getattr(df, "_gramlark_staged", False)
+    return bool(getattr(df, "_gramlark_staged", False))
+
+
+def release(df: DataFrame) -> None:
+    """Delete one table returned by ``stage`` that nothing built on it needs any more."""
+    spark, path = df.sparkSession, df._gramlark_staged
+    if path in _STAGED:
+        _STAGED.remove(path)
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def release_staged(spark: SparkSession) -> int:

@@ -142,3 +142,23 @@ def test_forest_of_no_rows_and_of_a_constant(spark):
     flat = trees.random_forest(df.withColumn("y", F.lit(4.0)), ["a", "b"], "y", "key", trees=2)
     assert {r.p for r in df.select(none.predict().alias("p")).collect()} == {0.0}
     assert {r.p for r in df.select(flat.predict().alias("p")).collect()} == {4.0}
+
+
+def test_boosting_keeps_one_table_of_residuals_and_needs_no_pass_for_the_leaves(spark, monkeypatch):
+    from gramlark import session
+
+    df, _ = made(spark)
+    passes, agg = [], type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, *a, **k: passes.append(f.__name__) or agg(self, f, *a, **k))
+    before = set(session._STAGED)
+    model = trees.boosted_trees(df, ["a", "b", "c"], "y", "key", rounds=6, depth=2, bins=8, rate=0.5)
+    kept = [p for p in set(session._STAGED) - before if "residuals" in p or "binned" in p]
+    assert len(model.trees) == 6 and len(kept) == 1
+    assert passes.count("sums") == 6 * 2
+
+
+def test_leaves_hand_their_value_down():
+    tree = trees.Tree(np.array([1, -1, 0, -1, -1, -1, -1]), np.array([2, 0, 1, 0, 0, 0, 0]), np.array([0.0, 5.0, 0.0, 0.0, 0.0, 7.0, 9.0]))
+    bins = np.array([[0, 2], [1, 3], [2, 3]], "u1")
+    assert tree.nodes(bins, 2).tolist() == [3, 5, 6]
+    assert tree.handed_down()[tree.nodes(bins, 2)].tolist() == [5.0, 7.0, 9.0]
