@@ -1,7 +1,7 @@
 """Regression trees grown level by level: random forests and gradient boosting.
 
-Columns are binned once at exact quantiles and written down, a row's bins as one
-binary value.  A level of all trees of a forest is one pass: each task sums weight
+Columns are binned once at exact quantiles and written down in blocks, a batch of
+rows in one binary value per field.  A level of all trees of a forest is one pass: each task sums weight
 and target per tree, node, bin and feature that the node may split on, and Spark
 adds these histograms up.  They hold the sums of both sides of every split, so the
 last level needs no pass.  The driver sees only the sums, whose size follows from
@@ -68,23 +68,28 @@ class Ensemble:
     rate: float
 
     def predict(self) -> Column:
-        """The prediction as a column expression."""
-
-        def walk(tree: Tree, node: int) -> Column:
-            f = int(tree.feature[node])
-            if f < 0:
-                return F.lit(float(tree.value[node]))
-            name = self.columns[f]
-            edge = self.edges[name][int(tree.cut[node]) - 1] if tree.cut[node] else None
-            left = F.col(name).isNull() | F.isnan(name)
-            if edge is not None:
-                left = left | (F.col(name) <= F.lit(edge))
-            return F.when(left, walk(tree, 2 * node + 1)).otherwise(walk(tree, 2 * node + 2))
-
-        out = F.lit(0.0)
-        for tree in self.trees:
-            out = out + walk(tree, 0)
-        return F.lit(self.base) + F.lit(self.rate) * out
+        """The prediction as a column; batches of rows walk all trees, for nested conditions are too long to be compiled."""
+        cuts = [np.array(self.edges[c], "float64") for c in self.columns]
+        leaves, base, rate = [(t, t.handed_down(), (len(t.value) + 1).bit_length() - 2) for t in self.trees], self.base, self.rate
+
+        @F.arrow_udf("double")
+        def predicted(*columns: pa.Array) -> pa.Array:
+            x = _bins(columns, cuts)
+            out = np.zeros(len(x))
+            for tree, value, depth in leaves:
+                out += value.take(tree.nodes(x, depth))
+            return pa.array(base + rate * out)
+
+        return predicted(*[F.col(c).cast("double") for c in self.columns])
+
+
+def _bins(columns, cuts: list[np.ndarray]) -> np.ndarray:
+    """``[row, feature]``: 0 for nulls, else one more than the edges below the value."""
+    out = np.zeros((len(columns[0]), len(cuts)), "int32")
+    for k, cut in enumerate(cuts):
+        v = columns[k].to_numpy(zero_copy_only=False).astype("float64", copy=False)
+        out[:, k] = np.where(np.isnan(v), 0, 1 + np.searchsorted(cut, v, side="left"))
+    return out
 
 
 def quantile_edges(df: DataFrame, columns: list[str], bins: int) -> dict[str, list[float]]:
@@ -145,27 +150,29 @@ def _kind(bins: int) -> str:
 
 
 def _packed(binned: DataFrame, bins: int, hashes: bool) -> DataFrame:
-    """``(x binary, y[, h])`` written down: a row's bins in one value of fixed size."""
+    """``(x, y[, h])`` written down, a batch of rows in one block."""
     kept = ["y", "h"] if hashes else ["y"]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 x = batch.column(0).flatten().to_numpy(zero_copy_only=False).astype(_kind(bins))
-                ends = np.arange(batch.num_rows + 1, dtype="i4") * (x.nbytes // batch.num_rows)
-                cells = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(ends), pa.py_buffer(x)])
-                yield pa.RecordBatch.from_arrays([cells, *batch.columns[1:]], names=["x", *kept])
+                yield _block([x, *(c.to_numpy() for c in batch.columns[1:])], ["x", *kept])
 
-    schema = ", ".join(["x binary", *[f"{c} long" for c in kept]])
+    schema = ", ".join(f"{c} binary" for c in ["x", *kept])
     return stage(binned.select("bins", *kept).mapInArrow(pack, schema), "binned")
 
 
-def _unpacked(batch: pa.RecordBatch, bins: int) -> np.ndarray:
-    """``[row, feature]`` bins of a batch with rows."""
-    cells = batch.column(0).cast(pa.binary())
-    ends = np.frombuffer(cells.buffers()[1], "i4")[cells.offset : cells.offset + len(cells) + 1]
-    x = np.frombuffer(cells.buffers()[2], "u1")[ends[0] : ends[-1]]
-    return x.view(_kind(bins)).reshape(len(cells), -1)
+def _block(arrays: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()) for a in arrays], names=names)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], bins: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """``[row, feature]`` bins, targets and, if kept, hashes of every block."""
+    for batch in batches:
+        for x, y, *h in zip(*batch.columns):
+            y, *h = (np.frombuffer(v.as_buffer(), "i8") for v in (y, *h))
+            yield np.frombuffer(x.as_buffer(), _kind(bins)).reshape(len(y), -1), y, *h
 
 
 def grow(binned: DataFrame, trees: int, depth: int, bins: int, least: int, bootstrap: bool, share: float, seed: int) -> list[Tree]:
@@ -195,15 +202,11 @@ def _grow(
 
         def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cells = np.zeros((trees, 2, slots, many * width), "int64")
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                all_x, all_y = _unpacked(batch, bins), batch.column(1).to_numpy().astype("float64")
-                hashes = batch.column(2).to_numpy() if bootstrap else None
-                x, y, w = all_x, all_y, None
+            for all_x, all_y, *hashes in _blocks(batches, bins):
+                x, y, w = all_x, all_y.astype("float64"), None
                 for t, tree in enumerate(grown):
                     if bootstrap:
-                        drawn = draws(hashes, t, seed)
+                        drawn = draws(hashes[0], t, seed)
                         use = np.flatnonzero(drawn)
                         w = drawn.take(use).astype("float64")
                         x, y = all_x.take(use, axis=0), all_y.take(use) * w
@@ -242,10 +245,7 @@ def _grow(
 
 
 def _prepared(df: DataFrame, columns: list[str], target: str, key: str, bins: int, edges=None) -> tuple[DataFrame, dict, float, float]:
-    """``(bins, y, h)``, the edges, and the target's mean and step.
-
-    A column's bin is 0 for nulls, else one more than the edges below the value.
-    """
+    """``(bins, y, h)``, the edges, and the target's mean and step."""
     rows = df.where(F.col(target).isNotNull() & ~F.isnan(F.col(target).cast("double")))
     edges = edges or quantile_edges(rows, columns, bins)
     mean, low, high = rows.agg(F.avg(target), F.min(target), F.max(target)).first()
@@ -256,10 +256,7 @@ def _prepared(df: DataFrame, columns: list[str], target: str, key: str, bins: in
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.zeros((batch.num_rows, len(cuts)), "int32")
-            for k, cut in enumerate(cuts):
-                v = batch.column(k + 2).to_numpy(zero_copy_only=False).astype("float64", copy=False)
-                x[:, k] = np.where(np.isnan(v), 0, 1 + np.searchsorted(cut, v, side="left"))
+            x = _bins(batch.columns[2:], cuts)
             ends = pa.array(np.arange(len(x) + 1, dtype="i4") * len(cuts))
             parts = [pa.ListArray.from_arrays(ends, pa.array(x.ravel())), *batch.columns[:2]]
             yield pa.RecordBatch.from_arrays(parts, names=["bins", "y", "h"])
@@ -317,12 +314,10 @@ def boosted_trees(
             fitted = np.rint(rate * tree.handed_down()).astype("int64")
 
             def left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                for batch in batches:
-                    if batch.num_rows:
-                        y = batch.column(1).to_numpy() - fitted.take(tree.nodes(_unpacked(batch, bins), depth))
-                        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(y)], names=["x", "y"])
+                for x, y in _blocks(batches, bins):
+                    yield _block([x, y - fitted.take(tree.nodes(x, depth))], ["x", "y"])
 
-            done, packed = packed, stage(packed.mapInArrow(left, "x binary, y long"), "residuals")
+            done, packed = packed, stage(packed.mapInArrow(left, "x binary, y binary"), "residuals")
             release(done)
     return Ensemble(columns, edges, _scaled(out, step), mean, rate)
 
