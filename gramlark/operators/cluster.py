@@ -2,7 +2,8 @@
 
 Equal coordinates are counted first and clustered once with their count as a
 weight, which gives the same centres and shrinks the data the iterations read.
-All starts move together: a pass over the points gives the sums of every cluster
+Points are written down in blocks, so that a pass costs its arithmetic.  All starts
+move together: a pass over the points gives the sums of every cluster
 of every start that still moves, so ten starts need the passes of the slowest.
 """
 
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gramlark.schema import TARGET
-from gramlark.session import stage
+from gramlark.session import release, stage
 
 COORDINATES = ["latitude", "longitude"]
 
@@ -69,25 +70,46 @@ def first_centers(points: DataFrame, columns: list[str], k: int, starts: int, se
         wanted *= 16
 
 
-def _move(points: DataFrame, columns: list[str], centers: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+def _blocks(points: DataFrame, columns: list[str]) -> DataFrame:
+    """Coordinates and weights written down, a batch of points in one value, for the passes that follow."""
+
+    def pack(batches):
+        for batch in batches:
+            if batch.num_rows:
+                cells = np.stack([c.to_numpy(zero_copy_only=False).astype("float64", copy=False) for c in batch.columns])
+                yield pa.RecordBatch.from_arrays([pa.array([cells.tobytes()], pa.binary())], names=["cells"])
+
+    return stage(points.select(*columns, "weight").mapInArrow(pack, "cells binary"), "point-blocks")
+
+
+def _nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number and squared distance of the centre nearest to each of the points ``x[column]``; the first of equally near ones."""
+    near, best = np.zeros(x.shape[1], "int64"), np.full(x.shape[1], np.inf)
+    for k, center in enumerate(centers):
+        d = sum((v - c) ** 2 for v, c in zip(x, center))
+        near[d < best] = k
+        np.minimum(best, d, out=best)
+    return near, best
+
+
+def _move(blocks: DataFrame, columns: list[str], centers: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
     """Per start ``[cluster, (rows, sums of the columns, squared distances)]`` under its centres, in one pass."""
 
     def fold(batches):
         sums = {s: np.zeros((len(c), len(columns) + 2)) for s, c in centers.items()}
         for batch in batches:
-            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(columns) + 1)])
-            x, w = x[:, :-1], x[:, -1]
-            for s, c in centers.items():
-                d = sum((x[:, [j]] - c[:, j]) ** 2 for j in range(len(columns)))
-                near = d.argmin(axis=1)
-                cells = [w, *(x * w[:, None]).T, d[np.arange(len(d)), near] * w]
-                sums[s] += np.column_stack([np.bincount(near, v, len(c)) for v in cells])
+            for block in batch.column(0):
+                *x, w = np.frombuffer(block.as_buffer(), "float64").reshape(len(columns) + 1, -1)
+                x, weighted = np.stack(x), [v * w for v in x]
+                for s, c in centers.items():
+                    near, d = _nearest(x, c)
+                    sums[s] += np.column_stack([np.bincount(near, v, len(c)) for v in (w, *weighted, d * w)])
         rows = [(s, m.ravel().tolist()) for s, m in sums.items()]
         yield pa.RecordBatch.from_arrays(
             [pa.array([s for s, _ in rows], pa.int32()), pa.array([m for _, m in rows], pa.list_(pa.float64()))], names=["s", "cells"]
         )
 
-    cells = points.select(*columns, "weight").mapInArrow(fold, "s int, cells array<double>")
+    cells = blocks.mapInArrow(fold, "s int, cells array<double>")
     out = {s: np.zeros((len(c), len(columns) + 2)) for s, c in centers.items()}
     for r in cells.select("s", F.posexplode("cells").alias("at", "v")).groupBy("s", "at").agg(F.sum("v").alias("v")).collect():
         out[r.s].flat[r["at"]] = r.v
@@ -122,8 +144,9 @@ class GeoClusters:
         starts = first_centers(points, self.columns, self.k, max(1, self.n_init), self.seed)
         limit = self.tol * max(0.0, float(np.mean([v or 0.0 for v in spread])))
         centers, moving = dict(enumerate(starts)), set(range(len(starts)))
+        blocks = _blocks(points, self.columns)
         for _ in range(self.max_iter):
-            for s, m in _move(points, self.columns, {s: centers[s] for s in sorted(moving)}).items():
+            for s, m in _move(blocks, self.columns, {s: centers[s] for s in sorted(moving)}).items():
                 rows = m[:, [0]]
                 new = np.where(rows > 0, m[:, 1:-1] / np.maximum(rows, 1e-300), centers[s])
                 if ((new - centers[s]) ** 2).sum() <= limit:
@@ -131,7 +154,8 @@ class GeoClusters:
                 centers[s] = new
             if not moving:
                 break
-        costs = {s: float(m[:, -1].sum()) for s, m in _move(points, self.columns, centers).items()}
+        costs = {s: float(m[:, -1].sum()) for s, m in _move(blocks, self.columns, centers).items()}
+        release(blocks)
         # starts that end in the same clusters differ by rounding only: the first of them
         best = min(s for s in costs if costs[s] <= min(costs.values()) * (1 + 1e-9))
         self.centers, self.cost = centers[best], costs[best]

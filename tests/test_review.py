@@ -93,3 +93,16 @@ def test_flow_survives_zero_divisors_and_new_gaps(spark, raw, tmp_path):
         out = FeatureFlow.load(spark, str(tmp_path / "flow")).transform(rows).select(flow.selected)
         assert out.where(" OR ".join(f"`{c}` IS NULL" for c in out.columns)).isEmpty()
     assert TARGET not in flow.fills
+
+
+def test_points_of_a_pass_travel_in_blocks_and_the_nearest_centre_is_the_first_of_equals(spark):
+    from gramlark.operators import cluster
+
+    points = spark.range(50_000).selectExpr("cast(id % 7 AS double) AS a", "cast(id % 11 AS double) AS b", "1.0D AS weight")
+    blocks = cluster._blocks(points, ["a", "b"])
+    assert blocks.count() < 50
+    x = np.array([[0.0, 1.0, 2.0], [0.0, 0.0, 0.0]])
+    near, d = cluster._nearest(x, np.array([[0.0, 0.0], [2.0, 0.0], [2.0, 0.0]]))
+    assert near.tolist() == [0, 0, 1] and d.tolist() == [0.0, 1.0, 0.0]
+    moved = cluster._move(blocks, ["a", "b"], {0: np.array([[0.0, 0.0], [6.0, 10.0]])})[0]
+    assert moved[:, 0].sum() == 50_000 and moved[:, 1].sum() == sum(i % 7 for i in range(50_000))
