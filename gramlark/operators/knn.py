@@ -12,8 +12,12 @@ column, and that bound does the pruning:
 2. Each row then visits only the slices whose anchor range comes within that
    bound.
 
-Rows without an anchor value visit every slice, so the result is exact.  A cell
-emits at most k candidates per visiting row; pairs of rows are never emitted.
+Rows without an anchor value visit every slice, so the result is exact.  Within a
+cell donors are halved along their widest column into boxes of ``BOX_ROWS``, and
+visitors of one kind of gaps likewise into groups.  A group compares itself with
+the nearest boxes first and then only with boxes that are not farther than its
+k-th neighbours.  A cell emits at most k candidates per visiting row; pairs of
+rows are never emitted.
 """
 
 from __future__ import annotations
@@ -34,6 +38,7 @@ VISITOR_ROWS = 20_000
 CHUNK_CELLS = 4_000_000
 CHUNK_PAIRS = 500_000
 ROUNDING = 1e-12
+BOX_ROWS, GROUP_ROWS = 256, 128
 
 
 def _distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -81,6 +86,82 @@ def _nearest(q: np.ndarray, x: np.ndarray, values: np.ndarray, k: int):
     return row[first], exact[first], value[first]
 
 
+def _halved(x: np.ndarray, most: int) -> list[np.ndarray]:
+    """Rows of ``x`` (no NaN) in parts of at most ``most``, halved along the widest column."""
+    todo, out = [np.arange(len(x))], []
+    while todo:
+        rows = todo.pop()
+        if len(rows) <= most:
+            out.append(rows)
+            continue
+        own = x[rows]
+        widest = int((own.max(axis=0) - own.min(axis=0)).argmax())
+        order = np.argpartition(own[:, widest], len(rows) // 2)
+        todo += [rows[order[: len(rows) // 2]], rows[order[len(rows) // 2 :]]]
+    return [r for r in out if len(r)]
+
+
+def _boxed_nearest(q: np.ndarray, x: np.ndarray, values: np.ndarray, k: int):
+    """``_nearest``, but groups of rows of ``q`` skip boxes of donors that are too far.
+
+    A box's distance to a group, over the columns the group has, is at most that of
+    any two of their rows: a donor's own gaps widen its box without limit, and
+    distances over fewer shared columns are scaled up.
+    """
+    held = np.flatnonzero(~np.isnan(values))
+    x, values = x[held], values[held]
+    if len(held) <= 2 * BOX_ROWS:
+        step = max(1, CHUNK_CELLS // max(len(held), 1))
+        found = [_nearest(q[s : s + step], x, values, k) for s in range(0, len(q), step)]
+        rows = [r + s for (r, _, _), s in zip(found, range(0, len(q), step))]
+        return tuple(np.concatenate(c) for c in (rows, [f[1] for f in found], [f[2] for f in found]))
+    boxes = _halved(np.nan_to_num(x), BOX_ROWS)
+    # a box with a gap in a column has no limits there
+    low = np.array([np.where(np.isnan(x[b]), -np.inf, x[b]).min(axis=0) for b in boxes])
+    high = np.array([np.where(np.isnan(x[b]), np.inf, x[b]).max(axis=0) for b in boxes])
+    sizes = np.array([len(b) for b in boxes])
+    kinds, kind = np.unique(np.isnan(q), axis=0, return_inverse=True)
+    kind, out = kind.ravel(), []
+    for g, gaps in enumerate(kinds):
+        has, members = np.flatnonzero(~gaps), np.flatnonzero(kind == g)
+        if len(has) == 0:  # no donor is at a known distance
+            continue
+        for part in _halved(q[members][:, has], GROUP_ROWS):
+            rows = members[part]
+            own = q[np.ix_(rows, has)]
+            apart = np.fmax(np.fmax(low[:, has] - own.max(axis=0), own.min(axis=0) - high[:, has]), 0.0)
+            # never more than any two of their rows are apart: all columns over the most that can be shared
+            bound = np.sqrt((apart * apart).sum(axis=1) * (q.shape[1] / len(has)))
+            order = np.argsort(bound, kind="stable")
+            ends, done, reach = sizes[order].cumsum(), 0, np.inf
+            many = int(np.searchsorted(ends, max(4 * BOX_ROWS, 4 * k))) + 1
+            best = (np.empty(0, int), np.empty(0), np.empty(0))
+            # boxes in order of their bounds, twice as many each time, until the next one is out of reach
+            while done < len(order) and bound[order[done]] * (1 - 1e-9) <= reach:
+                within = int(np.searchsorted(bound[order] * (1 - 1e-9), reach, side="right"))
+                take = np.concatenate([boxes[b] for b in order[done : min(done + many, within)]])
+                new = _nearest(q[rows], x[take], values[take], k)
+                best = _merged(best, new, k)
+                done, many = min(done + many, within), min(2 * many, max(1, CHUNK_CELLS // (GROUP_ROWS * BOX_ROWS)))
+                found = np.bincount(best[0], minlength=len(rows))
+                reach = best[1].max() if (found >= k).all() else np.inf
+            out.append((rows[best[0]], best[1], best[2]))
+    if not out:
+        return np.empty(0, int), np.empty(0), np.empty(0)
+    row, dist, value = (np.concatenate(c) for c in zip(*out))
+    order = np.lexsort((value, dist, row))
+    return row[order], dist[order], value[order]
+
+
+def _merged(a, b, k: int):
+    """The k nearest per row of both, ties to the smaller value."""
+    row, dist, value = (np.concatenate(c) for c in zip(a, b))
+    order = np.lexsort((value, dist, row))
+    row, dist, value = row[order], dist[order], value[order]
+    first = np.arange(len(row)) - np.searchsorted(row, row, side="left") < k
+    return row[first], dist[first], value[first]
+
+
 def knn_impute(
     df: DataFrame,
     columns: list[str],
@@ -221,11 +302,9 @@ def _search(cells, visitors, columns, fill, k, visitor_rows) -> DataFrame:
                 wants = left[left["_missing"].map(lambda m, c=c: c in m)]
                 held = right[donor_names[c]]
                 target = held.to_numpy(float)
-                step = max(1, CHUNK_CELLS // max(len(right), 1))
-                for s in range(0, len(wants), step):
-                    part = wants.iloc[s : s + step]
-                    row, dist, value = _nearest(part[cols].to_numpy(float), x, target, k)
-                    ids = part["_id"].to_numpy()[row]
+                if len(wants):
+                    row, dist, value = _boxed_nearest(wants[cols].to_numpy(float), x, target, k)
+                    ids = wants["_id"].to_numpy()[row]
                     out.append(pd.DataFrame({"_id": ids, "_fill": c, "_dist": dist, "_value": value}))
         if out:
             return pd.concat(out, ignore_index=True)

@@ -392,3 +392,24 @@ def test_density_integrates_to_one(spark):
     df = spark.range(2000).select(F.randn(3).alias("x"))
     pts = plotdata.kde(df, "x").orderBy("x").toPandas()
     assert np.trapezoid(pts.density, pts.x) == pytest.approx(1.0, abs=0.01)
+
+
+def test_knn_groups_skip_far_boxes_and_find_the_same(monkeypatch):
+    from gramlark.operators import knn
+
+    rng = np.random.default_rng(4)
+    x = np.column_stack([rng.integers(0, 40, 6_000) * 100.0, rng.uniform(0, 900, 6_000), rng.integers(0, 30, 6_000)])
+    x[rng.random(x.shape) < 0.002] = np.nan
+    values = np.where(rng.random(6_000) < 0.1, np.nan, rng.integers(0, 50, 6_000))
+    q = x[rng.permutation(6_000)[:700]] + rng.integers(0, 2, (700, 3))
+    q[:, 2][::5] = np.nan
+    want = knn._nearest(q, x, values, 5)
+    pairs, plain = [], knn._nearest
+    monkeypatch.setattr(knn, "_nearest", lambda a, b, *rest: pairs.append(len(a) * len(b)) or plain(a, b, *rest))
+    got = knn._boxed_nearest(q, x, values, 5)
+    assert all(np.array_equal(a, b) for a, b in zip(got, want))
+    assert sum(pairs) < 0.6 * len(q) * len(x)
+    few = knn._boxed_nearest(q, x[:300], values[:300], 5)
+    assert all(np.array_equal(a, b) for a, b in zip(few, plain(q, x[:300], values[:300], 5)))
+    none = knn._boxed_nearest(q, x, np.full(6_000, np.nan), 5)
+    assert [len(c) for c in none] == [0, 0, 0]
