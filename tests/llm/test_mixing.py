@@ -1,6 +1,7 @@
 """Language-model scores against plain counting and a bit-by-bit model."""
 
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -113,6 +114,78 @@ def test_columns_on_odd_rows_and_any_sharding(spark):
     assert np.allclose(cut.score, got.score, rtol=1e-4) and (cut.n_known == got.n_known).all()
 
 
+def plain_weights(texts, learn, code):
+    """Weights fitted to the bits of all training texts, each left out of its own counts."""
+    seen, found = Counter(), Counter()
+    bits = [list(plain_bits(t, code)) for t, own in zip(texts, learn) if own]
+    for _, bit, node, ways in (b for text in bits for b in text):
+        for way, c in enumerate(ways):
+            seen[way, c, node, bit] += 1
+    for _, bit, node, ways in (b for text in bits for b in text):
+        gate, x = 0, []
+        for way, c in enumerate(ways):
+            n = [seen[way, c, node, k] - (k == bit) for k in (0, 1)]
+            gate = gate * 3 + (sum(n) > 0) + (sum(n) > 3)
+            x.append(np.float32(math.log((n[1] + 0.4) / (n[0] + 0.4))))
+        x.append(code.prior[node])
+        found[gate, *(float(np.rint(v * m.STEPS)) / m.STEPS for v in x), bit] += 1
+    w = np.full((m.GATES, m.WAYS + 1), 0.3)
+    for gate in {f[0] for f in found}:
+        rows = np.array([(*f[1:], n) for f, n in found.items() if f[0] == gate])
+        x, bit, n = rows[:, :-2], rows[:, -2], rows[:, -1]
+        for _ in range(2_000):  # slow and safe: the curve is bent no more than this
+            slope = x.T @ (n * (1 / (1 + np.exp(-x @ w[gate])) - bit)) + w[gate] - 0.3
+            p = 1 / (1 + np.exp(-x @ w[gate]))
+            w[gate] -= 0.5 * np.linalg.solve((x.T * (n * (p * (1 - p) + 1e-3))) @ x + np.eye(m.WAYS + 1), slope)
+    return w
+
+
+def test_weights_are_fitted_to_all_training_texts(spark):
+    """More texts than any sample was once; those that are rare tell most of what the weights are."""
+    texts = [f"{k % 13} to {k % 7}" if k % 10 else f"the cat sat on mat {k}" for k in range(1_300)]
+    rows = [(k, t, 1, "x", 2) for k, t in enumerate(texts)]
+    learn = np.array([k % 7 != 2 for k in range(len(texts))])
+    data = [m.symbols(t) for t in texts]
+    code = code_of([d for d, own in zip(data, learn) if own])
+    got = scored(spark, rows, shard_bytes=5_000).sort_values("doc_id")
+    want = plain_model(data, learn, code, plain_weights(data, learn, code))
+    assert got.score.to_numpy() == pytest.approx(want, rel=1e-3)
+
+
+def test_histogram_has_every_training_bit():
+    texts = [m.symbols(t) for t in TEXTS]
+    learn, code = np.array([k % 3 != 1 for k in range(len(texts))]), code_of(texts)
+    pairs, _, joints = m.ask(texts, learn)
+    _, many = m.cells(*joints, m.Counts(m.nodes(*pairs, code)), code)
+    assert many.sum() == sum(len(list(plain_bits(t, code))) for t, own in zip(texts, learn) if own)
+
+
+def test_pairs_of_a_context_stay_together_and_answers_count_once():
+    keys = np.unique(np.random.default_rng(3).integers(0, 2**12, 5_000).astype("u8") << np.uint64(52) | np.arange(5_000, dtype="u8") % 257)
+    cuts = m.ranges(keys, 7)
+    ends = keys[cuts[1:-1] - 1] >> np.uint64(9)
+    assert cuts[0] == 0 and cuts[-1] == len(keys) and (ends != keys[cuts[1:-1]] >> np.uint64(9)).all()
+    rows = [m.packed(keys[:3_000], np.arange(3_000)), m.packed(keys[1_000:], np.arange(1_000, len(keys)))]
+    got = m.answers(m.pd.DataFrame(rows, columns=["keys", "many"]))
+    assert (got[0] == keys).all() and (got[1] == np.arange(len(keys))).all()
+
+
+def test_memory_of_a_shard():
+    """Counting and scoring hold a few numbers per byte of text, not a few per bit and context."""
+    words = [bytes(w) for w in np.random.default_rng(1).integers(97, 123, (4_000, 7)).astype("u1")]
+    pick = np.random.default_rng(2).integers(0, len(words), (800, 400))
+    texts = [b" ".join(words[k] for k in row) for row in pick]
+    code, learn = code_of(texts), np.ones(len(texts), bool)
+    w = np.full((m.GATES, m.WAYS + 1), 0.3)
+    tracemalloc.start()
+    try:
+        m.score(texts, m.Counts(m.gather(texts, learn, code)), code, w)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 35 * sum(map(len, texts))
+
+
 def test_no_rows_and_no_training_rows(spark):
     assert scored(spark, []).empty
     got = scored(spark, [(2, "only held out", 1, "x", 2)])
