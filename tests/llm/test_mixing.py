@@ -1,6 +1,7 @@
 """Language-model scores against plain counting and a bit-by-bit model."""
 
 import math
+import time
 import tracemalloc
 from collections import Counter
 
@@ -114,6 +115,74 @@ def test_columns_on_odd_rows_and_any_sharding(spark):
     assert np.allclose(cut.score, got.score, rtol=1e-4) and (cut.n_known == got.n_known).all()
 
 
+def sums_of_tokens(texts, learn):
+    seen = Counter(w for t, own in zip(texts, learn) if own for w in t.split())
+    keys = np.array([m.xxhash.xxh64_intdigest(w) for w in seen], "u8")
+    order = keys.argsort()
+    return seen, keys[order], np.array([*seen.values()], "i8")[order]
+
+
+@pytest.mark.parametrize("piece", [1, 50, 1 << 21])
+def test_tokens_are_those_of_split(monkeypatch, piece):
+    monkeypatch.setattr(m, "PIECE", piece)
+    odd = [" a  b ", "\n", "\x1ca\x1db", "a\0 a", "x\x85y\xa0z", " \u2003 ", "a b\x0b\x0c\r\tb"]
+    texts = [m.symbols(t) for t in [*TEXTS, *odd]] + [b"\xff \xfe\xc3 a", b""]
+    learn = np.array([k % 3 != 1 for k in range(len(texts))])
+    seen, keys, many = sums_of_tokens(texts, learn)
+    got = m.plain(texts, keys, many, 4, len(seen), 100)
+    c = [[seen[w] for w in t.split()] + [4] for t in texts]
+    assert got.n_tokens.tolist() == [len(x) for x in c] and got.n_known.tolist() == [sum(n > 0 for n in x) for x in c]
+    want = [sum(math.log10((n + 1) / (101 + len(seen))) for n in x) for x in c]
+    assert got.base_score.to_numpy() == pytest.approx(want)
+    asked, n = m.ask(texts, learn)[1]
+    assert (asked[n > 0] == keys).all() and (n[n > 0] == many).all()
+    assert len(asked) == len({w for t in texts for w in t.split()})
+    none = m.plain(texts, keys[:0], many[:0], 0, 0, 0)
+    assert not none.n_known.any() and not none.base_score.any()
+
+
+def cpu(work):
+    """CPU seconds of the fastest of some runs."""
+    took = []
+    for _ in range(4):
+        start = time.process_time()
+        work()
+        took.append(time.process_time() - start)
+    return min(took)
+
+
+def test_tokens_cost_less_than_counting_them_one_by_one():
+    pick = np.random.default_rng(4).zipf(1.3, (1_000, 400)) % 100_000
+    texts = [" ".join(f"w{k}" for k in row).encode() for row in pick.tolist()]
+    seen, keys, many = sums_of_tokens(texts, [True] * len(texts))
+
+    def one_by_one():
+        n = Counter()
+        for t in texts:
+            n.update(t.split())
+        return [sum(map(n.__getitem__, t.split())) for t in texts]
+
+    assert cpu(lambda: m.plain(texts, keys, many, len(texts), len(seen), 400_000)) < cpu(one_by_one)
+
+
+def test_losses_are_worked_out_by_the_matrix():
+    """Bits of paths of one length lie in rows: as good as sums bit by bit, and few array steps a factor."""
+    texts = [m.symbols(t) for t in TEXTS]
+    code = code_of(texts)
+    counts, w = m.Counts(m.gather(texts, np.ones(len(texts), bool), code)), np.full((m.GATES, m.WAYS + 1), 0.3)
+    joints = np.unique(np.concatenate([s.joint for s in m.segments(texts)]))
+    size = code.size[(joints & m.LOW).astype("int64")]
+    joints, size = joints[size.argsort(kind="stable")], np.sort(size)
+    bit, x, gate = m.predictors(joints, counts, code)
+    z = sum(x[i].astype("f8") * w[gate, i] for i in range(m.WAYS + 1)) * np.where(bit == 1, 1, -1)
+    losses, first = m.Losses(joints, counts, code, w), size.cumsum() - size
+    assert len(losses.right) == len(set(size))
+    for k in (0, 16, 32):
+        s = m.GRID[k]
+        assert losses[k].real == pytest.approx(np.add.reduceat(np.logaddexp(0, -z * s), first), rel=1e-5, abs=1e-6)
+        assert losses[k].imag == pytest.approx(np.add.reduceat(-z / (1 + np.exp(z * s)), first), rel=1e-5, abs=1e-6)
+
+
 def plain_weights(texts, learn, code):
     """Weights fitted to the bits of all training texts, each left out of its own counts."""
     seen, found = Counter(), Counter()
