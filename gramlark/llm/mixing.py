@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import heapq
 import math
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -260,12 +259,13 @@ def gather(texts: list[bytes], learn: np.ndarray, code: Code) -> Tally:
 
 
 def _planes(a: np.ndarray) -> bytes:
-    """The array's bytes, all lowest ones first: the upper ones of small numbers are zeros and compress away."""
-    return a.view("u1").reshape(-1, 8).T.tobytes()
+    """The array's length and bytes, all lowest ones first: the upper ones of small numbers are zeros and compress away."""
+    return len(a).to_bytes(8, "little") + pa.compress(a.view("u1").reshape(-1, 8).T.tobytes(), "zstd", asbytes=True)
 
 
 def _from_planes(b: bytes, kind: str) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(b), "u1").reshape(8, -1).T).view(kind).ravel()
+    flat = pa.decompress(b[8:], 8 * int.from_bytes(b[:8], "little"), "zstd")
+    return np.ascontiguousarray(np.frombuffer(flat, "u1").reshape(8, -1).T).view(kind).ravel()
 
 
 PACKED = "keys binary, many binary"
@@ -274,7 +274,7 @@ PAIRS, TOKENS, JOINTS = range(3)  # kinds of rows
 
 def packed(keys: np.ndarray, many: np.ndarray) -> list[bytes]:
     """Two columns of one row: gaps between the keys, and the counts."""
-    return [zlib.compress(_planes(a), 1) for a in (np.diff(keys, prepend=keys.dtype.type(0)), many)]
+    return [_planes(a) for a in (np.diff(keys, prepend=keys.dtype.type(0)), many)]
 
 
 def unpacked(row) -> Sums:

@@ -3,6 +3,7 @@
 import math
 import time
 import tracemalloc
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -239,6 +240,17 @@ def test_pairs_of_a_context_stay_together_and_answers_count_once():
     assert (got[0] == keys).all() and (got[1] == np.arange(len(keys))).all()
 
 
+@pytest.mark.parametrize("size", [0, 1, 5_000])
+def test_packed_arrays_come_back_and_are_smaller_than_deflated(size):
+    keys = np.unique(np.random.default_rng(5).integers(0, 2**63, size).astype("u8"))
+    many = np.random.default_rng(6).geometric(0.5, size).astype("i8")
+    rows = m.pd.DataFrame([m.packed(keys, many)], columns=["keys", "many"])
+    back = m.unpacked(next(rows.itertuples()))
+    assert (back[0] == keys).all() and (back[1] == many).all() and back[0].dtype == "u8" and back[1].dtype == "i8"
+    deflated = zlib.compress(many.view("u1").reshape(-1, 8).T.tobytes(), 1)
+    assert size < 100 or len(rows["many"][0]) < len(deflated)
+
+
 def test_memory_of_a_shard():
     """Counting and scoring hold a few numbers per byte of text, not a few per bit and context."""
     words = [bytes(w) for w in np.random.default_rng(1).integers(97, 123, (4_000, 7)).astype("u1")]
