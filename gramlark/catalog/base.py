@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gramlark.schema import NUMERIC
-from gramlark.session import stage
+from gramlark.session import release, stage
 from gramlark.sources.listing import listing
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,22 @@ def staged_listing(spark, sf_dir, columns=None, fold=False) -> DataFrame:
     return stage(listing(spark, sf_dir, columns, fold), "listing")
 
 
+def lean_listing(spark, sf_dir, columns) -> DataFrame:
+    """The listing written out with little disk: each join's shuffle files go before the next one."""
+    held = []
+
+    def step(df: DataFrame) -> DataFrame:
+        held.append(stage(df, "listing-step", lean=True))
+        if len(held) > 1:
+            release(held.pop(0))
+        return held[0]
+
+    out = stage(listing(spark, sf_dir, columns, between=step), "listing", lean=True)
+    for df in held:
+        release(df)
+    return out
+
+
 def rounded(df: DataFrame, digits: dict[str, int] | int, skip: tuple[str, ...] = ()) -> DataFrame:
     """Round double columns, either the named ones or all of them."""
     doubles = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]

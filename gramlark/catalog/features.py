@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gramlark.catalog.base import long_cte, q, query, rounded, staged_listing
+from gramlark.catalog.base import lean_listing, long_cte, q, query, rounded, staged_listing
 from gramlark.catalog.fits_sql import ALL_ROWS, FILLED, eliminated, moments
 from gramlark.functions.moments import gram_by
 from gramlark.operators import cluster, derive, encode, outliers, scale, select
@@ -75,7 +75,7 @@ def group_median_on_rows(spark, sf):
 
 @query()
 def impute_knn(spark, sf):
-    df = listing(spark, sf, KEYED)
+    df = lean_listing(spark, sf, KEYED)
     filled = Imputer("knn").fit(df, NUMERIC).transform(df)
     return rounded(filled.select("row_key", "total_bedrooms", "total_bedrooms_is_missing"), 6)
 

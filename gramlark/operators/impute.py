@@ -13,7 +13,7 @@ from gramlark.functions.expressions import attach, flag
 from gramlark.functions.quantiles import exact_quantiles, quantile_map
 from gramlark.operators.knn import knn_impute
 from gramlark.schema import CATEGORY, numeric_columns
-from gramlark.session import stage
+from gramlark.session import as_staged, is_staged, stage
 
 STRATEGIES = ("mean", "median", "grouped_median", "knn")
 
@@ -58,7 +58,9 @@ class Imputer:
         if not self.columns:
             return self
         if self.strategy == "knn":
-            self.donors = stage(df.select(known), "donors")
+            self.donors = as_staged(df.select(known), df)
+            if not is_staged(df):
+                self.donors = stage(self.donors, "donors", lean=True)
         elif self.strategy == "mean":
             row = df.agg(*[F.avg(c).alias(c) for c in self.columns]).first()
             self.fills = {c: row[c] for c in self.columns if row[c] is not None}
@@ -76,7 +78,7 @@ class Imputer:
         order = df.columns
         out = add_indicators(df, self.columns) if self.indicators else df
         if self.strategy == "knn":
-            return knn_impute(out, self.donors.columns, self.columns, donors=self.donors)
+            return knn_impute(as_staged(out, df), self.donors.columns, self.columns, donors=self.donors)
         if self.groups is not None:
             out = attach(out, self.groups, self.group)
         fill = {}

@@ -50,16 +50,28 @@ def stage_root(spark: SparkSession) -> str:
 _STAGED: list[str] = []
 
 
-def stage(df: DataFrame, name: str = "table") -> DataFrame:
+TIDY_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage(df: DataFrame, name: str = "table", lean: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage in a way that survives the loss of executors and keeps
     column pruning for the passes that follow.  Worth its write wherever more
-    than one pass over joined or derived rows follows.
+    than one pass over joined or derived rows follows.  A ``lean`` one takes less
+    disk: it is packed tighter, and the shuffle files of its write go at once.
     """
     spark = df.sparkSession
     path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    if lean:
+        before = spark.conf.get(TIDY_CONF, None)
+        spark.conf.set(TIDY_CONF, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            spark.conf.unset(TIDY_CONF) if before is None else spark.conf.set(TIDY_CONF, before)
+    else:
+        df.write.parquet(path)
     _STAGED.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._gramlark_staged = path
@@ -71,6 +83,13 @@ def is_staged(df: DataFrame) -> bool:
     return bool(getattr(df, "_gramlark_staged", False))
 
 
+def as_staged(df: DataFrame, base: DataFrame) -> DataFrame:
+    """``df``, columns of ``base`` or derived from them row by row, counts as staged if ``base`` is."""
+    if is_staged(base):
+        df._gramlark_staged = base._gramlark_staged
+    return df
+
+
 def release(df: DataFrame) -> None:
     """Delete one table returned by ``stage`` that nothing built on it needs any more."""
     spark, path = df.sparkSession, df._gramlark_staged

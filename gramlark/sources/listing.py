@@ -10,6 +10,9 @@ left to the statistics Spark has at run time.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +47,9 @@ _COLUMNS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+_NAMES = re.compile(r"\b[lcps]_[a-z]+\b")  # the tables' columns in those expressions
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -59,11 +65,18 @@ def listing(
     sf_dir: str,
     columns: list[str] | None = None,
     fold: bool = False,
+    between: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """The listing table, restricted to ``columns``; ``fold`` adds a fold column."""
+    """The listing table, restricted to ``columns``; ``fold`` adds a fold column.
+
+    ``between`` is applied to the rows before each join but the first, with the
+    columns still needed, for instance to write them down.
+    """
     wanted = list(columns) if columns is not None else list(RAW_COLUMNS)
     needs = {dim for c in wanted for dim in _COLUMNS[c][0]}
+    exprs = {c: _COLUMNS[c][1] for c in wanted}
     df = read_table(spark, sf_dir, "lineitem")
+    joins = []
     if "orders" in needs:
         customer = read_table(spark, sf_dir, "customer").select(
             "c_custkey", "c_acctbal", "c_mktsegment"
@@ -74,17 +87,24 @@ def listing(
             .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
             .select("o_orderkey", "c_acctbal", "c_mktsegment")
         )
-        df = df.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        joins.append((orders, "l_orderkey", "o_orderkey"))
     if "part" in needs:
         part = read_table(spark, sf_dir, "part").select("p_partkey", "p_size")
-        df = df.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+        joins.append((part, "l_partkey", "p_partkey"))
     if "supplier" in needs:
         supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
-        df = df.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-    exprs = [F.expr(_COLUMNS[c][1]).alias(c) for c in wanted]
+        joins.append((supplier, "l_suppkey", "s_suppkey"))
+    keyed = _COLUMNS["row_key"][1] if fold else ""
+    for i, (dim, own, key) in enumerate(joins):
+        if i and between:
+            used = set(_NAMES.findall(" ".join([*exprs.values(), keyed])))
+            used |= {k for _, k, _ in joins[i:]}
+            df = between(df.select([c for c in df.columns if c in used]))
+        df = df.join(dim, F.col(own) == F.col(key), "left")
+    out = [F.expr(e).alias(c) for c, e in exprs.items()]
     if fold:
-        exprs.append(hash_bucket(F.expr(_COLUMNS["row_key"][1]), FOLDS).alias("fold"))
-    return df.select(exprs)
+        out.append(hash_bucket(F.expr(keyed), FOLDS).alias("fold"))
+    return df.select(out)
 
 
 # The same view for the SQL side of a comparison.

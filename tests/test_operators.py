@@ -413,3 +413,73 @@ def test_knn_groups_skip_far_boxes_and_find_the_same(monkeypatch):
     assert all(np.array_equal(a, b) for a, b in zip(few, plain(q, x[:300], values[:300], 5)))
     none = knn._boxed_nearest(q, x, np.full(6_000, np.nan), 5)
     assert [len(c) for c in none] == [0, 0, 0]
+
+
+def test_knn_writes_a_row_per_gap_and_not_candidates_of_every_cell(spark, monkeypatch):
+    from gramlark.operators import knn
+
+    rng = np.random.default_rng(8)
+    n = 4_000
+    pdf = pd.DataFrame({"a": rng.integers(0, 3, n) * 1000.0, "b": rng.uniform(0, 900, n), "c": rng.uniform(0, 50, n)})
+    pdf["v"] = np.where(rng.random(n) < 0.1, np.nan, rng.integers(0, 90, n))
+    pdf["id"] = np.arange(n)
+    rows = [tuple(None if isinstance(v, float) and np.isnan(v) else v for v in r) for r in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, v double, id long")
+    written, plain = {}, knn.stage
+
+    def counted(df, name, **options):
+        out = plain(df, name, **options)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(knn, "stage", counted)
+    cols = list("abcv")
+    got = knn_impute(df, cols, ["v"], 5, cell_rows=60, visitor_rows=50).orderBy("id").toPandas()
+    np.testing.assert_allclose(got["v"].to_numpy(float), _brute_knn(pdf, cols, ["v"], 5)["v"], rtol=1e-9)
+    assert sum(written.values()) < 2 * n  # each of the three slices of a had 23 cells, with 5 candidates a gap in each
+
+
+def test_knn_trees_split_gap_kinds_ties_and_limits(spark):
+    from gramlark.operators import knn
+
+    rng = np.random.default_rng(9)
+    x = np.column_stack([rng.integers(0, 4, 3_000) * 10.0, rng.uniform(0, 9, 3_000), rng.uniform(0, 5, 3_000)])
+    x[rng.random(3_000) < 0.2, 1] = np.nan
+    layout = knn._Layout(2)
+    kind = knn._kinds(x, 2)
+    for name in ("00", "01", None):
+        layout.grow(name, x[kind == name] if name else x[:0])
+    leaf = layout.leaf_of(x)
+    assert layout.leaves > 50 and set(leaf) <= set(range(layout.leaves))
+    assert all(len(set(kind[leaf == v])) == 1 for v in set(leaf))
+    rows = []
+    for v in sorted(set(leaf)):
+        own, gap = x[leaf == v], np.isnan(x[leaf == v])
+        rows.append((v, len(own), *np.where(gap, -np.inf, own).min(0), *np.where(gap, np.inf, own).max(0)))
+    frame = spark.createDataFrame(
+        [tuple(int(c) if i < 2 else float(c) for i, c in enumerate(r)) for r in rows],
+        "_leaf int, rows long, l0 double, l1 double, l2 double, h0 double, h1 double, h2 double",
+    )
+    layout.limit(frame.collect(), 20)
+    q = np.array([[11.0, 4.0, np.nan], [np.nan, 2.0, np.nan], [30.0, np.nan, np.nan]])
+    reach = np.array([3.0, 0.7, np.inf])
+    row, cell = layout.reached(q, reach)
+    d = knn._distances(q[:, None, :], x[None, :, :])
+    for i in range(3):
+        near = {v for v, dist in zip(leaf, d[i]) if dist <= reach[i] and np.isfinite(dist)}
+        cells = {c for v in near for c in range(layout.starts[v], layout.starts[v] + layout.cells[v])}
+        assert cells <= set(cell[row == i])
+    assert len(cell[row == 0]) < 0.6 * layout.cells.sum() and len(cell[row == 2]) == layout.cells.sum()
+
+
+def test_listing_steps_keep_the_rows(spark, sf_dir):
+    from gramlark.catalog.base import lean_listing
+    from gramlark.session import TIDY_CONF
+    from gramlark.sources.listing import listing
+
+    columns = ["row_key", "longitude", "latitude", "housing_median_age", "total_bedrooms"]
+    before = spark.conf.get(TIDY_CONF, None)
+    got, want = lean_listing(spark, sf_dir, columns), listing(spark, sf_dir, columns)
+    assert got.columns == columns and got.count() == want.count()
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert spark.conf.get(TIDY_CONF, None) == before
